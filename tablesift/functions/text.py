@@ -10,8 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: Java's String.trim() removes every char <= U+0020 at both ends
-# (not only spaces, unlike Spark's trim).
-JAVA_TRIM_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# (not only spaces, unlike Spark's one-argument trim).
+JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
 
 
 def quote_name(name: str) -> str:
@@ -25,8 +25,9 @@ def column(name: str) -> Column:
 
 
 def java_trim(c: Column) -> Column:
-    """Trim like ``java.lang.String.trim``: all chars <= U+0020, both ends."""
-    return F.regexp_replace(c, JAVA_TRIM_PATTERN, "")
+    """Trim like ``java.lang.String.trim``: all chars <= U+0020, both ends
+    (``trim(BOTH chars FROM c)``, no regular expression)."""
+    return F.trim(c, F.lit(JAVA_TRIM_CHARS))
 
 
 def file_stem(c: Column) -> Column:

@@ -38,6 +38,19 @@ from tablesift.functions.text import column, java_trim
 
 BITS_PER_WORD = 64
 
+# Structs per ``inline`` call.  One generated method per unpivot must stay
+# under the JVM's code-size limits; wider tables are split into several
+# selects of the same table, each reading only its own columns.
+UNPIVOT_CHUNK = 16
+
+
+def inline_chunks(df: DataFrame, entries: list[Column]) -> list[DataFrame]:
+    """``df.select(inline(array(*entries)))`` split into chunks."""
+    return [
+        df.select(F.inline(F.array(*entries[i : i + UNPIVOT_CHUNK])))
+        for i in range(0, len(entries), UNPIVOT_CHUNK)
+    ]
+
 
 @dataclass(frozen=True)
 class IndOptions:
@@ -71,6 +84,12 @@ def is_profilable(dtype: T.DataType) -> bool:
     )
 
 
+def needs_trim(dtype: T.DataType) -> bool:
+    """Only text can carry outer whitespace: numbers, dates, timestamps and
+    booleans cast to text never start or end with a char <= U+0020."""
+    return isinstance(dtype, T.StringType)
+
+
 @dataclass(frozen=True)
 class Attribute:
     id: int
@@ -192,7 +211,7 @@ class AttributeSpace:
     # ---------------------------------------------------------------- values
     def value_expr(self, table: str, col: str) -> Column:
         v = column(col).cast("string")
-        if self.options.trim:
+        if self.options.trim and needs_trim(self.tables[table].schema[col].dataType):
             v = java_trim(v)
         return v
 
@@ -221,8 +240,7 @@ class AttributeSpace:
                 for t, c in a.sources:
                     if t == table:
                         entries.append(F.struct(*payload(a), self.value_expr(t, c).alias("v")))
-            if entries:
-                parts.append(df.select(F.inline(F.array(*entries))))
+            parts.extend(inline_chunks(df, entries))
         if not parts:
             return self._empty_unpivot(payload)
         rows = reduce(DataFrame.unionByName, parts)

@@ -148,3 +148,47 @@ WITH ind AS ({unary_inds_sql(tables, "trimmed")})
 SELECT DISTINCT a.dependent AS dependent, b.referenced AS referenced
 FROM ind a JOIN ind b ON a.referenced = b.dependent
 WHERE a.dependent <> b.referenced"""
+
+
+def nary_level2_sql(tables) -> str:
+    """Level-2 INDs, both sides within one table, trimmed values, columns
+    identified by (table, column)."""
+    av = attribute_values_sql(tables, "strict")
+    parts = []
+    for t in tables:
+        cols = TABLE_COLUMNS[t]
+        for c1 in cols:
+            for c2 in cols:
+                if c1 != c2:
+                    parts.append(
+                        f"SELECT {_lit(t)} AS t, {_lit(c1)} AS c1, {_lit(c2)} AS c2, "
+                        f"{value_sql(c1, True)} AS v1, {value_sql(c2, True)} AS v2 FROM {t}"
+                    )
+    tuples = "\n  UNION ALL ".join(parts)
+    return f"""
+WITH raw AS ({av}),
+av AS (SELECT t, c, v FROM (SELECT t, c, {SQL_JAVA_TRIM.format(v="v")} AS v FROM raw) x
+       WHERE v IS NOT NULL AND v <> '' GROUP BY t, c, v),
+tot AS (SELECT t, c, count(*) AS n FROM av GROUP BY t, c),
+common AS (
+  SELECT a.t AS dt, a.c AS dc, b.t AS rt, b.c AS rc, count(*) AS n
+  FROM av a JOIN av b ON a.v = b.v AND NOT (a.t = b.t AND a.c = b.c)
+  GROUP BY a.t, a.c, b.t, b.c),
+ind AS (SELECT dt, dc, rt, rc FROM common JOIN tot ON common.dt = tot.t AND common.dc = tot.c AND common.n = tot.n),
+cand AS (
+  SELECT i1.dt, i1.dc AS a, i2.dc AS b, i1.rt, i1.rc AS c, i2.rc AS d
+  FROM ind i1 JOIN ind i2 ON i1.dt = i2.dt AND i1.rt = i2.rt AND i1.dc < i2.dc AND i1.rc <> i2.rc),
+tv AS (
+  SELECT DISTINCT t, c1, c2, v1, v2 FROM (
+  {tuples}
+  ) u WHERE v1 IS NOT NULL AND v1 <> '' AND v2 IS NOT NULL AND v2 <> ''),
+dtot AS (SELECT t, c1, c2, count(*) AS n FROM tv GROUP BY t, c1, c2),
+matched AS (
+  SELECT cand.dt, cand.a, cand.b, cand.rt, cand.c, cand.d, count(*) AS n
+  FROM cand
+  JOIN tv dv ON dv.t = cand.dt AND dv.c1 = cand.a AND dv.c2 = cand.b
+  JOIN tv rv ON rv.t = cand.rt AND rv.c1 = cand.c AND rv.c2 = cand.d AND rv.v1 = dv.v1 AND rv.v2 = dv.v2
+  GROUP BY cand.dt, cand.a, cand.b, cand.rt, cand.c, cand.d)
+SELECT m.dt AS dependent_table, m.a || ', ' || m.b AS dependent_columns,
+       m.rt AS referenced_table, m.c || ', ' || m.d AS referenced_columns, 2 AS arity
+FROM matched m JOIN dtot ON dtot.t = m.dt AND dtot.c1 = m.a AND dtot.c2 = m.b AND dtot.n = m.n"""
