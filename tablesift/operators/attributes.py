@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesift.functions.text import column, java_trim
+from tablesift.plans.partitioning import spread
 
 BITS_PER_WORD = 64
 
@@ -236,11 +237,15 @@ class AttributeSpace:
         parts = []
         for table, df in self.tables.items():
             entries = []
+            used = []
             for a in self.attributes:
                 for t, c in a.sources:
                     if t == table:
                         entries.append(F.struct(*payload(a), self.value_expr(t, c).alias("v")))
-            parts.extend(inline_chunks(df, entries))
+                        used.append(c)
+            if entries:
+                base = spread(df.select(*[column(c) for c in dict.fromkeys(used)]))
+                parts.extend(inline_chunks(base, entries))
         if not parts:
             return self._empty_unpivot(payload)
         rows = reduce(DataFrame.unionByName, parts)

@@ -35,6 +35,7 @@ from tablesift.operators.attributes import (
     needs_trim,
 )
 from tablesift.operators.ind import unary_inds
+from tablesift.plans.partitioning import spread
 
 
 def _by_position(options: IndOptions) -> IndOptions:
@@ -124,7 +125,7 @@ def test_candidates(
         used = sorted({c for _, cols in mine for c in cols})
         # Normalise each used column once; the tuple structs then only
         # reference plain columns (keeps generated code small).
-        norm = df.select(*[_value(options, df, c).alias(c) for c in used])
+        norm = spread(df.select(*[_value(options, df, c).alias(c) for c in used]))
         entries = []
         for sid, cols in mine:
             exprs = [column(c) for c in cols]
