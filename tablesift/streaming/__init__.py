@@ -1,0 +1,6 @@
+"""Streaming: nothing to match.
+
+The profiled system has no stream source, watermark, window or state; its
+reader pulls bounded files in 10,000-row batches, which is a plain batch scan
+here (``tablesift.sources``).  No streaming operator is built, by design.
+"""
