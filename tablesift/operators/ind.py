@@ -160,3 +160,20 @@ def ind_implied(space: AttributeSpace) -> DataFrame:
     reach = edges.join(nxt, "mid").groupBy("dep").agg(*[F.bit_or(w).alias(w) for w in space.word_cols])
     implied = reach.select("dep", F.explode(space.members()).alias("ref")).where(F.col("ref") != F.col("dep"))
     return implied.select(*space.label_columns("dep", "dependent"), *space.label_columns("ref", "referenced"))
+
+
+def ind_records(inds: DataFrame) -> DataFrame:
+    """INDs as records ``struct(dependent_table, dependent_columns array,
+    referenced_table, referenced_columns array)``, deduplicated.
+
+    Takes the output of ``unary_inds`` over a (table, column) space; records
+    compare by value (tables and column lists), so ``dropDuplicates`` is the
+    set semantics of the record type.
+    """
+    rec = F.struct(
+        F.col("dependent_table").alias("dependent_table"),
+        F.array("dependent_column").alias("dependent_columns"),
+        F.col("referenced_table").alias("referenced_table"),
+        F.array("referenced_column").alias("referenced_columns"),
+    )
+    return inds.select(rec.alias("ind")).dropDuplicates(["ind"])
