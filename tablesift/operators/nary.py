@@ -2,8 +2,12 @@
 
 ``T(a1..ak) < U(b1..bk)``: every value *tuple* of columns a1..ak of table T
 (rows where every part is kept by the preset) is a tuple of columns b1..bk
-of table U.  Dependent columns are in name order; referenced columns align
-with them position by position.
+of table U, and every (k-1)-column projection is itself an IND (for k = 2:
+both unary INDs hold).  With nulls dropped per tuple the tuple condition
+alone is not closed under projection, so the projection condition is part
+of the definition; level-wise search is exact for it.  Dependent columns
+are in name order; referenced columns align with them position by
+position.
 
 Level k+1 candidates come from pairs of valid level-k INDs with the same
 tables and the same first k-1 columns on both sides (a DataFrame join over
@@ -78,12 +82,26 @@ def next_candidates(inds: DataFrame, k: int) -> DataFrame:
     x, z = F.element_at("a.dcols", k), F.element_at("b.dcols", k)
     y, w = F.element_at("a.rcols", k), F.element_at("b.rcols", k)
     cond = cond & (x < z) & (y != w) & ~F.array_contains(F.col("a.rcols"), w)
-    return a.join(b, cond).select(
+    cands = a.join(b, cond).select(
         F.col("a.dt").alias("dt"),
         F.concat(F.col("a.dcols"), F.array(z)).alias("dcols"),
         F.col("a.rt").alias("rt"),
         F.concat(F.col("a.rcols"), F.array(w)).alias("rcols"),
     )
+    # The two generating INDs are the projections without the last and the
+    # second-to-last column; every other k-column projection must be a
+    # level-k IND as well (semi joins on the small IND list).
+    for i in range(1, k):
+        drop_d = F.concat(F.slice("dcols", 1, i - 1), F.slice("dcols", i + 1, k + 1 - i)) if i > 1 else F.slice("dcols", 2, k)
+        drop_r = F.concat(F.slice("rcols", 1, i - 1), F.slice("rcols", i + 1, k + 1 - i)) if i > 1 else F.slice("rcols", 2, k)
+        proj = cands.select("*", drop_d.alias("pd"), drop_r.alias("pr"))
+        known = inds.select(F.col("dt").alias("kdt"), F.col("dcols").alias("pd"), F.col("rt").alias("krt"), F.col("rcols").alias("pr"))
+        cands = proj.join(
+            known,
+            (proj["dt"] == known["kdt"]) & (proj["rt"] == known["krt"]) & (proj["pd"] == known["pd"]) & (proj["pr"] == known["pr"]),
+            "left_semi",
+        ).select("dt", "dcols", "rt", "rcols")
+    return cands
 
 
 def test_candidates(
