@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tablesift.functions.text import bracket_list, file_stem
 from tablesift.operators.attributes import AttributeSpace, attribute_profile_ids, distinct_sets
+from tablesift.plans.partitioning import materialize
 
 # Per-attribute frames have one row per attribute, so their size is bounded by
 # the schema width, not by the data.  Past this many attributes we let the
@@ -95,7 +96,8 @@ def ind_candidates(space: AttributeSpace, profile: DataFrame | None = None) -> D
     attribute ids, so the work is one row per output pair; counts come from a
     single aggregate over the data.
     """
-    counts = attribute_profile_ids(space) if profile is None else profile
+    # One row per attribute, read twice below (dependent and referenced side).
+    counts = materialize(attribute_profile_ids(space) if profile is None else profile)
     all_ids = F.array(*[F.lit(a.id) for a in space.attributes]) if space.size else F.array().cast("array<int>")
     deps = counts.select(F.col("attr_id").alias("dep"), F.col("n_distinct").alias("n_dependent"))
     pairs = deps.select(
@@ -153,8 +155,8 @@ def ind_implied(space: AttributeSpace) -> DataFrame:
     Works on reference masks: OR of ``refs(b)`` over ``b`` in ``refs(a)``, so
     the join emits one row per IND, never per path.
     """
-    # Read twice below; the planner reuses the shuffle of the shared subplan.
-    masks = _ref_only_masks(space)
+    # One row per attribute, read twice below (edges and lookup side).
+    masks = materialize(_ref_only_masks(space))
     edges = masks.select("dep", F.explode(space.members()).alias("mid"))
     nxt = _small(space, masks.select(F.col("dep").alias("mid"), *space.word_cols))
     reach = edges.join(nxt, "mid").groupBy("dep").agg(*[F.bit_or(w).alias(w) for w in space.word_cols])

@@ -39,7 +39,7 @@ from tablesift.operators.attributes import (
     needs_trim,
 )
 from tablesift.operators.ind import unary_inds
-from tablesift.plans.partitioning import spread
+from tablesift.plans.partitioning import materialize, spread
 
 
 def _by_position(options: IndOptions) -> IndOptions:
@@ -111,10 +111,7 @@ def test_candidates(
     tuples; one value-grouping pass for all candidates of the level."""
     # The candidates are read twice (side list, then the test): materialise
     # them once, in the shared checkpoint folder when the session names one.
-    if spark.sparkContext.getCheckpointDir() is not None:
-        cands = cands.checkpoint()
-    else:
-        cands = cands.cache()
+    cands = materialize(cands)
     sides_rows = (
         cands.select(F.col("dt").alias("t"), F.col("dcols").alias("cols"))
         .union(cands.select(F.col("rt").alias("t"), F.col("rcols").alias("cols")))

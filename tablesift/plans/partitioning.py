@@ -19,3 +19,16 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small frame that a plan reads more than once, once.
+
+    With a shared checkpoint folder (``spark.checkpoint.dir``) the frame is
+    checkpointed there, which also cuts its lineage; without one (local
+    runs) it is cached.  Only for frames of bounded size, such as one row
+    per attribute.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is not None:
+        return df.checkpoint()
+    return df.cache()
