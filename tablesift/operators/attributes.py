@@ -39,6 +39,11 @@ from tablesift.plans.partitioning import spread
 
 BITS_PER_WORD = 64
 
+# Frames with one row per attribute are bounded by the schema width, not by
+# the data; up to this many attributes they are broadcast, beyond it the
+# planner chooses (shuffle join).
+BROADCAST_ATTRIBUTE_LIMIT = 200_000
+
 # Structs per ``inline`` call.  One generated method per unpivot must stay
 # under the JVM's code-size limits; wider tables are split into several
 # selects of the same table, each reading only its own columns.
@@ -166,6 +171,10 @@ class AttributeSpace:
     def by_position(self) -> bool:
         return not self.options.merge_same_names
 
+    def small(self, df: DataFrame) -> DataFrame:
+        """Broadcast hint for a frame with at most one row per attribute."""
+        return F.broadcast(df) if self.size <= BROADCAST_ATTRIBUTE_LIMIT else df
+
     def find(self, label: str) -> Attribute:
         for a in self.attributes:
             if a.label == label:
@@ -360,22 +369,33 @@ def attribute_overlap(space: AttributeSpace) -> DataFrame:
     """Number of common distinct values for every ordered pair of attributes
     that share at least one value, with the dependent's distinct count.
 
-    Computed per dependent as bit-weighted sums over the distinct sets, so no
-    pair list is ever built inside a set: one aggregate column per attribute,
-    one output row per sharing pair.
+    Computed per (dependent, mask word) as 64 bit-weighted sums over the
+    distinct sets, so no pair list is ever built inside a set and the
+    aggregate has a fixed width whatever the number of attributes; the
+    output has one row per sharing pair.
     """
     sets = distinct_sets(space)
-    per_dep = sets.select(F.explode(space.members()).alias("dep"), "n_values", *space.word_cols)
-    sums = per_dep.groupBy("dep").agg(
+    per_dep = sets.select(
+        F.explode(space.members()).alias("dep"),
+        "n_values",
+        F.array(*[F.col(w) for w in space.word_cols]).alias("ws"),
+    )
+    per_word = per_dep.select("dep", "n_values", F.posexplode("ws").alias("word", "bits")).where(F.col("bits") != 0)
+    bit_set = lambda b: F.shiftright(F.col("bits"), b).bitwiseAND(F.lit(1).cast("long")) == F.lit(1)
+    sums = per_word.groupBy("dep", "word").agg(
+        *[F.sum(F.when(bit_set(b), F.col("n_values"))).cast("long").alias(f"c{b}") for b in range(BITS_PER_WORD)]
+    )
+    cells = F.array(
         *[
-            F.sum(F.when(space.bit_test(a.id), F.col("n_values"))).cast("long").alias(f"c{a.id}")
-            for a in space.attributes
+            F.struct((F.col("word") * BITS_PER_WORD + b).alias("ref"), F.col(f"c{b}").alias("n"))
+            for b in range(BITS_PER_WORD)
         ]
     )
-    cells = F.array(*[F.struct(F.lit(a.id).alias("ref"), F.col(f"c{a.id}").alias("n")) for a in space.attributes])
-    own = F.element_at(F.array(*[F.col(f"c{a.id}") for a in space.attributes]), F.col("dep") + 1)
-    long_form = sums.select("dep", own.alias("n_dependent"), F.inline(cells))
-    return long_form.where((F.col("ref") != F.col("dep")) & (F.col("n") > 0)).select(
+    long_form = sums.select("dep", F.inline(cells)).where(F.col("n") > 0)
+    # One row per attribute: each dependent's own distinct count.
+    own = long_form.where(F.col("ref") == F.col("dep")).select("dep", F.col("n").alias("n_dependent"))
+    pairs = long_form.where(F.col("ref") != F.col("dep")).join(space.small(own), "dep")
+    return pairs.select(
         *space.label_columns("dep", "dependent"),
         *space.label_columns("ref", "referenced"),
         F.col("n").alias("n_common"),

@@ -18,14 +18,8 @@ from tablesift.functions.text import bracket_list, file_stem
 from tablesift.operators.attributes import AttributeSpace, attribute_profile_ids, distinct_sets
 from tablesift.plans.partitioning import materialize
 
-# Per-attribute frames have one row per attribute, so their size is bounded by
-# the schema width, not by the data.  Past this many attributes we let the
-# planner choose instead of forcing a broadcast.
-BROADCAST_ATTRIBUTE_LIMIT = 200_000
-
-
 def _small(space: AttributeSpace, df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if space.size <= BROADCAST_ATTRIBUTE_LIMIT else df
+    return space.small(df)
 
 
 def reference_masks(space: AttributeSpace) -> DataFrame:

@@ -164,6 +164,21 @@ def test_wide_masks_against_brute_force(spark):
         assert found(spark, tables, preset) == expected
 
 
+def test_wide_overlap_against_brute_force(spark):
+    rng = random.Random(8)
+    cols = {f"a{i:02d}": [rng.choice(["1", "2", "3", None]) for _ in range(4)] for i in range(70)}
+    space = A.AttributeSpace.build(spark, frames(spark, {"wide": cols}), A.TRIMMED)
+    _, sets = brute({"wide": cols}, "trimmed")
+    got = {(r.dependent, r.referenced): (r.n_common, r.n_dependent) for r in A.attribute_overlap(space).collect()}
+    expected = {
+        (a, b): (len(sets[a] & sets[b]), len(sets[a]))
+        for a in sets
+        for b in sets
+        if a != b and sets[a] & sets[b]
+    }
+    assert got == expected
+
+
 def test_overlap_count_form_agrees(spark):
     rng = random.Random(11)
     tables = random_tables(rng, 2, 5, 6, DOMAIN)
