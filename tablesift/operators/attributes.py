@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesift.functions.text import column, java_trim
+from tablesift.functions.text import quote_name
 from tablesift.plans.partitioning import spread
 
 BITS_PER_WORD = 64
@@ -47,17 +47,27 @@ BROADCAST_ATTRIBUTE_LIMIT = 200_000
 # Structs per ``inline`` call.  One generated method per unpivot must stay
 # under the JVM's code-size limits; wider tables are split into several
 # selects of the same table, each reading only its own columns.
-UNPIVOT_CHUNK = 16
+UNPIVOT_CHUNK = 64
 
 
-def inline_chunks(df: DataFrame, entries: list[Column]) -> list[DataFrame]:
-    """``df.select(inline(array(*entries)))`` split into chunks."""
+def inline_chunks(df: DataFrame, entries: list[str]) -> list[DataFrame]:
+    """``df.select(inline(array(*entries)))`` split into chunks; entries are
+    ``named_struct`` SQL texts of one shape."""
     return [
-        df.select(F.inline(F.array(*entries[i : i + UNPIVOT_CHUNK])))
+        df.select(F.expr("inline(array(" + ", ".join(entries[i : i + UNPIVOT_CHUNK]) + "))"))
         for i in range(0, len(entries), UNPIVOT_CHUNK)
     ]
 
 
+def sql_string(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# Fixed value: Java's trim set (chars U+0000..U+0020) as a SQL literal.
+JAVA_TRIM_SQL = "'" + "".join(f"\\u{i:04x}" for i in range(0x21)) + "'"
+
+
 @dataclass(frozen=True)
 class IndOptions:
     """How columns become attributes and cells become values."""
@@ -193,20 +203,21 @@ class AttributeSpace:
         return AttributeSpace.build(self.spark, tables, self.options, cols)
 
     def label_array(self, field_name: str = "label") -> Column:
-        """Literal array of one label field per attribute id."""
+        """Literal array of one label field per attribute id (one SQL
+        expression, not one literal column per attribute)."""
         values = [getattr(a, field_name) for a in self.attributes]
-        return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+        if not values:
+            return F.array().cast("array<string>")
+        return F.expr("array(" + ", ".join(sql_string(v) for v in values) + ")")
 
     def label_columns(self, id_col: str, prefix: str) -> list[Column]:
         """Output columns naming an attribute id: ``prefix`` for merged names,
         ``prefix_table`` and ``prefix_column`` for (table, column) identity."""
         idx = F.col(id_col) + 1
         if self.by_position:
-            tables = F.array(*[F.lit(a.table) for a in self.attributes])
-            cols = F.array(*[F.lit(a.column) for a in self.attributes])
             return [
-                F.element_at(tables, idx).alias(f"{prefix}_table"),
-                F.element_at(cols, idx).alias(f"{prefix}_column"),
+                F.element_at(self.label_array("table"), idx).alias(f"{prefix}_table"),
+                F.element_at(self.label_array("column"), idx).alias(f"{prefix}_column"),
             ]
         return [F.element_at(self.label_array("column"), idx).alias(prefix)]
 
@@ -219,10 +230,11 @@ class AttributeSpace:
         return [T.StructField(prefix, T.StringType())]
 
     # ---------------------------------------------------------------- values
-    def value_expr(self, table: str, col: str) -> Column:
-        v = column(col).cast("string")
+    def value_sql(self, table: str, col: str) -> str:
+        """SQL text of the normalised value of one column."""
+        v = f"CAST({quote_name(col)} AS STRING)"
         if self.options.trim and needs_trim(self.tables[table].schema[col].dataType):
-            v = java_trim(v)
+            v = f"trim(BOTH {JAVA_TRIM_SQL} FROM {v})"
         return v
 
     def keep_condition(self, v: Column) -> Column | None:
@@ -238,10 +250,12 @@ class AttributeSpace:
     def unpivot(self, payload, keep_all: bool = False) -> DataFrame:
         """Every cell of every attribute as one row ``(*payload(attr), v)``.
 
-        ``payload(attr)`` returns literal columns (all constant per attribute).
-        One scan per table reads exactly the attribute columns of that table.
-        Rows the preset drops are filtered out unless ``keep_all``; then a
-        boolean ``kept`` column is added instead.
+        ``payload(attr)`` returns ``(name, sql)`` pairs of constants for the
+        attribute.  One scan per table reads exactly the attribute columns of
+        that table.  The structs are SQL text, so a wide table costs one
+        expression per chunk rather than one per literal.  Rows the preset
+        drops are filtered out unless ``keep_all``; then a boolean ``kept``
+        column is added instead.
         """
         parts = []
         for table, df in self.tables.items():
@@ -250,10 +264,11 @@ class AttributeSpace:
             for a in self.attributes:
                 for t, c in a.sources:
                     if t == table:
-                        entries.append(F.struct(*payload(a), self.value_expr(t, c).alias("v")))
+                        fields = "".join(f"{sql_string(n)}, {e}, " for n, e in payload(a))
+                        entries.append(f"named_struct({fields}'v', {self.value_sql(t, c)})")
                         used.append(c)
             if entries:
-                base = spread(df.select(*[column(c) for c in dict.fromkeys(used)]))
+                base = spread(df.select(*[quote_name(c) for c in dict.fromkeys(used)]))
                 parts.extend(inline_chunks(base, entries))
         if not parts:
             return self._empty_unpivot(payload)
@@ -265,18 +280,26 @@ class AttributeSpace:
 
     def _empty_unpivot(self, payload) -> DataFrame:
         probe = Attribute(0, None, "", ())
-        return self.spark.range(0).select(*payload(probe), F.lit(None).cast("string").alias("v"))
+        return self.spark.range(0).selectExpr(
+            *[f"{e} AS {quote_name(n)}" for n, e in payload(probe)], "CAST(NULL AS STRING) AS v"
+        )
 
     # ------------------------------------------------------------ bit masks
-    def bit_payload(self, attr: Attribute) -> list[Column]:
+    def bit_payload(self, attr: Attribute) -> list[tuple[str, str]]:
+        """The attribute's bit as (mask word index, bit) constants (SQL text).
+        A fixed shape whatever the number of words, so a wide schema adds
+        expressions linearly, not quadratically."""
         word, bit = divmod(attr.id, BITS_PER_WORD)
-        value = 1 << bit
-        if value >= 1 << 63:
-            value -= 1 << 64  # two's complement of the sign bit
-        return [
-            (F.lit(value) if j == word else F.lit(0)).cast("long").alias(w)
-            for j, w in enumerate(self.word_cols)
-        ]
+        return [("word", str(word)), ("bits", f"shiftleft(1L, {bit})")]
+
+    def word_aggregates(self, fn: str = "bit_or") -> list[Column]:
+        """``fn`` per mask word over ``(word, bits)`` rows (pivot into words)."""
+        if self.n_words == 1:
+            return [F.expr(f"{fn}(bits)").alias("w0")]
+        return [F.expr(f"{fn}(CASE WHEN word = {j} THEN bits ELSE 0L END)").alias(w) for j, w in enumerate(self.word_cols)]
+
+    def id_payload(self, attr: Attribute) -> list[tuple[str, str]]:
+        return [("attr_id", str(attr.id))]
 
     def members(self, words: list[str] | None = None) -> Column:
         """Attribute ids whose bit is set in the given mask word columns."""
@@ -310,7 +333,7 @@ class AttributeSpace:
 # ---------------------------------------------------------------- plans
 def attribute_values(space: AttributeSpace) -> DataFrame:
     """Distinct (attribute, value) pairs after the preset's normalisation."""
-    rows = space.unpivot(lambda a: [F.lit(a.id).alias("attr_id")])
+    rows = space.unpivot(space.id_payload)
     return rows.distinct().select(*space.label_columns("attr_id", "attribute"), F.col("v").alias("value"))
 
 
@@ -322,7 +345,7 @@ def attribute_profile_ids(space: AttributeSpace) -> DataFrame:
     adds one to the distinct count.  One aggregate: Spark expands the distinct
     count into a partial aggregation on (attribute, value) first.
     """
-    rows = space.unpivot(lambda a: [F.lit(a.id).alias("attr_id")], keep_all=True)
+    rows = space.unpivot(space.id_payload, keep_all=True)
     kept = F.col("kept")
     return rows.groupBy("attr_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -346,7 +369,7 @@ def attribute_profile(space: AttributeSpace) -> DataFrame:
 def value_sets(space: AttributeSpace) -> DataFrame:
     """``(v, w0..wK)``: the attribute set of every distinct value."""
     rows = space.unpivot(space.bit_payload)
-    return rows.groupBy("v").agg(*[F.bit_or(w).alias(w) for w in space.word_cols])
+    return rows.groupBy("v").agg(*space.word_aggregates("bit_or"))
 
 
 def distinct_sets(space: AttributeSpace) -> DataFrame:

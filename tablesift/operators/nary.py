@@ -29,9 +29,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.functions.text import column, java_trim
+from tablesift.functions.text import quote_name
 from tablesift.operators.attributes import (
     BITS_PER_WORD,
+    JAVA_TRIM_SQL,
     TRIMMED,
     AttributeSpace,
     IndOptions,
@@ -46,18 +47,21 @@ def _by_position(options: IndOptions) -> IndOptions:
     return replace(options, name=options.name + "_by_position", merge_same_names=False)
 
 
-def _value(options: IndOptions, df: DataFrame, col: str):
-    v = column(col).cast("string")
-    return java_trim(v) if options.trim and needs_trim(df.schema[col].dataType) else v
+def _value_sql(options: IndOptions, df: DataFrame, col: str) -> str:
+    v = f"CAST({quote_name(col)} AS STRING)"
+    if options.trim and needs_trim(df.schema[col].dataType):
+        v = f"trim(BOTH {JAVA_TRIM_SQL} FROM {v})"
+    return v
 
 
-def _keep(options: IndOptions, v):
-    cond = F.lit(True)
+def _keep_sql(options: IndOptions, col: str) -> str:
+    c = quote_name(col)
+    conds = ["true"]
     if options.drop_null:
-        cond = cond & v.isNotNull()
+        conds.append(f"{c} IS NOT NULL")
     if options.drop_blank:
-        cond = cond & F.coalesce(v != F.lit(""), F.lit(not options.drop_null))
-    return cond
+        conds.append(f"coalesce({c} <> '', {'false' if options.drop_null else 'true'})")
+    return "(" + " AND ".join(conds) + ")"
 
 
 def level_one(spark: SparkSession, tables: dict[str, DataFrame], options: IndOptions) -> DataFrame:
@@ -127,10 +131,9 @@ def test_candidates(
 
     def bits(side_id):
         word, bit = divmod(side_id, BITS_PER_WORD)
-        value = 1 << bit
-        if value >= 1 << 63:
-            value -= 1 << 64
-        return [(F.lit(value) if j == word else F.lit(0)).cast("long").alias(wc) for j, wc in enumerate(words)]
+        return "".join(
+            f"'{wc}', " + (f"shiftleft(1L, {bit}), " if j == word else "0L, ") for j, wc in enumerate(words)
+        )
 
     parts = []
     for table, df in tables.items():
@@ -140,13 +143,12 @@ def test_candidates(
         used = sorted({c for _, cols in mine for c in cols})
         # Normalise each used column once; the tuple structs then only
         # reference plain columns (keeps generated code small).
-        norm = spread(df.select(*[_value(options, df, c).alias(c) for c in used]))
+        norm = spread(df.selectExpr(*[f"{_value_sql(options, df, c)} AS {quote_name(c)}" for c in used]))
         entries = []
         for sid, cols in mine:
-            exprs = [column(c) for c in cols]
-            keep = reduce(lambda p, q: p & q, [_keep(options, e) for e in exprs])
-            values = [e.alias(vals[i]) for i, e in enumerate(exprs)]
-            entries.append(F.struct(*bits(sid), keep.alias("keep"), *values))
+            keep = " AND ".join(_keep_sql(options, c) for c in cols)
+            values = "".join(f", '{vals[i]}', {quote_name(c)}" for i, c in enumerate(cols))
+            entries.append(f"named_struct({bits(sid)}'keep', {keep}{values})")
         parts.extend(inline_chunks(norm, entries))
     tuples = reduce(DataFrame.unionByName, parts).where(F.col("keep")).drop("keep")
     sets = (
