@@ -404,16 +404,17 @@ def attribute_overlap(space: AttributeSpace) -> DataFrame:
         F.array(*[F.col(w) for w in space.word_cols]).alias("ws"),
     )
     per_word = per_dep.select("dep", "n_values", F.posexplode("ws").alias("word", "bits")).where(F.col("bits") != 0)
-    bit_set = lambda b: F.shiftright(F.col("bits"), b).bitwiseAND(F.lit(1).cast("long")) == F.lit(1)
     sums = per_word.groupBy("dep", "word").agg(
-        *[F.sum(F.when(bit_set(b), F.col("n_values"))).cast("long").alias(f"c{b}") for b in range(BITS_PER_WORD)]
-    )
-    cells = F.array(
         *[
-            F.struct((F.col("word") * BITS_PER_WORD + b).alias("ref"), F.col(f"c{b}").alias("n"))
+            F.expr(f"CAST(sum(CASE WHEN (shiftright(bits, {b}) & 1L) = 1L THEN n_values END) AS BIGINT)").alias(f"c{b}")
             for b in range(BITS_PER_WORD)
         ]
     )
+    cells = F.expr(
+        "array("
+        + ", ".join(f"named_struct('ref', word * {BITS_PER_WORD} + {b}, 'n', c{b})" for b in range(BITS_PER_WORD))
+        + ")"
+    )
     long_form = sums.select("dep", F.inline(cells)).where(F.col("n") > 0)
     # One row per attribute: each dependent's own distinct count.
     own = long_form.where(F.col("ref") == F.col("dep")).select("dep", F.col("n").alias("n_dependent"))
