@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from tablesift.functions.text import quote_name
 from tablesift.operators.attributes import (
     BITS_PER_WORD,
+    BROADCAST_ATTRIBUTE_LIMIT,
     JAVA_TRIM_SQL,
     TRIMMED,
     AttributeSpace,
@@ -171,8 +172,9 @@ def test_candidates(
     dep_ids = side_ids.select(F.col("sid").alias("dep_side"), F.col("t").alias("dt"), F.col("cols").alias("dcols"))
     ref_ids = side_ids.select(F.col("sid").alias("ref_side"), F.col("t").alias("rt"), F.col("cols").alias("rcols"))
     # Side tables have one row per column tuple named by a candidate, a
-    # schema-bounded size, so they are broadcast.
-    tagged = cands.join(F.broadcast(dep_ids), ["dt", "dcols"]).join(F.broadcast(ref_ids), ["rt", "rcols"])
+    # schema-bounded size; broadcast below the same bound as attribute frames.
+    small = (lambda d: F.broadcast(d)) if len(sides) <= BROADCAST_ATTRIBUTE_LIMIT else (lambda d: d)
+    tagged = cands.join(small(dep_ids), ["dt", "dcols"]).join(small(ref_ids), ["rt", "rcols"])
     tested = tagged.join(masks, "dep_side")
     holds = F.expr(
         f"(shiftright({warr}[cast(ref_side div {BITS_PER_WORD} as int)], ref_side % {BITS_PER_WORD}) & 1) = 1"
@@ -191,17 +193,18 @@ def nary_inds(
     (columns comma-joined), ``arity``.
 
     Each level is planned after the previous level's result is known; that
-    result is small (bounded by the number of column tuples), and when more
-    levels follow it is checkpointed to the shared folder named by
-    ``spark.checkpoint.dir`` so later levels do not replay earlier ones.
+    result is small (bounded by the number of column tuples) and is
+    materialised (checkpointed to the shared folder named by
+    ``spark.checkpoint.dir``, else cached) before the next level joins it
+    with itself, so no level is computed twice.
     """
     current = level_one(spark, tables, options)
     found = []
     for k in range(1, max_level):
+        # The level's INDs are joined with themselves: compute them once.
+        current = materialize(current)
         cands = next_candidates(current, k)
         current = test_candidates(spark, tables, options, cands, k + 1)
-        if k + 1 < max_level and spark.sparkContext.getCheckpointDir() is not None:
-            current = current.checkpoint()
         found.append(current.withColumn("arity", F.lit(k + 1)))
     if not found:
         raise ValueError("max_level must be at least 2")
