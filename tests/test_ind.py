@@ -217,3 +217,37 @@ def test_transitive_and_no_self_pair(spark):
         for b2, c in pairs:
             if b == b2 and a != c:
                 assert (a, c) in pairs
+
+
+def test_strict_equals_trimmed_without_nulls_blanks_spaces(spark):
+    from tests.conftest import SF_SMALL
+    from tablesift.sources.tables import STAR_TABLES, read_tables
+
+    tables = read_tables(spark, SF_SMALL, STAR_TABLES)
+    trimmed = {tuple(r) for r in ind.unary_inds(A.AttributeSpace.build(spark, tables, A.TRIMMED)).collect()}
+    strict = {
+        (r.dependent_column, r.referenced_column)
+        for r in ind.unary_inds(A.AttributeSpace.build(spark, tables, A.STRICT)).collect()
+    }
+    assert strict == trimmed
+
+
+def test_bit_and_equals_array_intersect_form(spark):
+    """Cross-check: per attribute, intersect the attribute sets of its values
+    with ``array_intersect`` over collected sets (fine on a small fixture)."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(21)
+    tables = random_tables(rng, 2, 5, 8, ["1", "2", "3", "4", None])
+    space = A.AttributeSpace.build(spark, frames(spark, tables), A.TRIMMED)
+    pairs = space.unpivot(space.id_payload)
+    per_value = pairs.groupBy("v").agg(F.array_sort(F.collect_set("attr_id")).alias("s"))
+    per_attr = per_value.select(F.explode("s").alias("dep"), "s").groupBy("dep").agg(F.collect_list("s").alias("ss"))
+    inter = per_attr.select(
+        "dep", F.aggregate("ss", F.element_at("ss", 1), lambda acc, x: F.array_intersect(acc, x)).alias("refs")
+    )
+    labels = {a.id: a.label for a in space.attributes}
+    via_arrays = {
+        (labels[r.dep], labels[x]) for r in inter.collect() for x in r.refs if x != r.dep
+    }
+    assert via_arrays == found(spark, tables, "trimmed")
