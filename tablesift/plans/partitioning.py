@@ -6,19 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A scan is spread only when it has at most this many partitions (small
+# inputs: a few files or row groups); larger scans keep their own splits, so
+# no big table ever pays an extra shuffle for it.
+SPREAD_MAX_INPUT_PARTITIONS = 128
+# At most this fan-out per input partition.
+SPREAD_MAX_FANOUT = 32
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition a frame whose scan cannot keep the cluster
+    """Round-robin repartition a small scan that cannot keep the cluster
     busy (fewer partitions than the default parallelism), e.g. a table
     stored as one file with a single row group.
 
     Used before row-multiplying steps (unpivots, substring expansion), where
-    one task would otherwise do all the work.  Large inputs already have
-    many more partitions than cores, so for them this is a no-op and adds
-    no shuffle.
+    one task would otherwise do all the work.  Only scans with at most
+    ``SPREAD_MAX_INPUT_PARTITIONS`` partitions qualify, and the new count is
+    capped at ``SPREAD_MAX_FANOUT`` times the old one, so large inputs are
+    never reshuffled and tiny ones do not turn into thousands of empty tasks.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
     # A one-column projection has the same scan splits and a cheap RDD form.
-    if df.select(F.lit(1)).rdd.getNumPartitions() < target:
+    n = df.select(F.lit(1)).rdd.getNumPartitions()
+    target = min(parallelism, SPREAD_MAX_FANOUT * max(n, 1))
+    if n <= SPREAD_MAX_INPUT_PARTITIONS and n < target:
         return df.repartition(target)
     return df
 

@@ -63,3 +63,12 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint>" in plan
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
     assert "customer" not in plan
+
+
+def test_spread_only_small_scans(spark):
+    from tablesift.plans import partitioning as P
+
+    one = spark.range(100).coalesce(1)
+    assert P.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(P.SPREAD_MAX_INPUT_PARTITIONS + 1)
+    assert P.spread(many) is many
