@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import random
 
+import pytest
+
 from pyspark.sql import types as T
 
 from tablesift.operators import attributes as A
@@ -102,3 +104,33 @@ def test_star_level_two(spark):
         ("lineitem", "l_linenumber, l_linestatus", "orders", "o_custkey, o_orderstatus", 2),
         ("lineitem", "l_linenumber, l_tax", "lineitem", "l_suppkey, l_discount", 2),
     }
+
+
+@pytest.mark.parametrize("seed", [5, 6, 7])
+def test_strict_levels_equal_plain_containment(spark, seed):
+    """With null as a value nothing is dropped, so tuple containment is
+    closed under projection and level-wise search equals plain containment
+    (a column is never paired with itself, as at level one)."""
+    rng = random.Random(seed)
+    domain = ["1", "2", None, ""]
+    tables = {
+        "t": {c: [rng.choice(domain) for _ in range(5)] for c in ("a", "b", "c")},
+        "u": {c: [rng.choice(domain) for _ in range(7)] for c in ("x", "y")},
+    }
+
+    def raw_tuples(t, cols):
+        data = tables[t]
+        return {tuple(data[c][i] for c in cols) for i in range(len(data[cols[0]]))}
+
+    expected = set()
+    for dt, dcols_all in tables.items():
+        for dcols in itertools.combinations(sorted(dcols_all), 2):
+            dep = raw_tuples(dt, dcols)
+            for rt, rcols_all in tables.items():
+                for rcols in itertools.permutations(sorted(rcols_all), 2):
+                    if dt == rt and any(a == b for a, b in zip(dcols, rcols)):
+                        continue
+                    if dep <= raw_tuples(rt, rcols):
+                        expected.add((dt, ", ".join(dcols), rt, ", ".join(rcols), 2))
+    got = {tuple(r) for r in nary_inds(spark, frames(spark, tables), A.STRICT, max_level=2).collect()}
+    assert got == expected
