@@ -81,9 +81,21 @@ def main():
 
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true", help="bare session without the library defaults")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
-    spark = build_session("local[8]")
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[8]")
+            .config("spark.ui.enabled", "false")
+            .config("spark.sql.session.timeZone", "America/Los_Angeles")
+            .getOrCreate()
+        )
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]")
     qs, sqls = queries(), oracle_sql()
     con = duck_connection(args.sf)
     bad = 0
