@@ -30,7 +30,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -416,9 +416,12 @@ def attribute_overlap(space: AttributeSpace) -> DataFrame:
         + ")"
     )
     long_form = sums.select("dep", F.inline(cells)).where(F.col("n") > 0)
-    # One row per attribute: each dependent's own distinct count.
-    own = long_form.where(F.col("ref") == F.col("dep")).select("dep", F.col("n").alias("n_dependent"))
-    pairs = long_form.where(F.col("ref") != F.col("dep")).join(space.small(own), "dep")
+    # The dependent's own distinct count is its (dep, dep) cell; a window per
+    # dependent (at most one row per attribute) carries it to the pair rows
+    # without a second pass over the plan.
+    per_dep = Window.partitionBy("dep")
+    own = F.max(F.when(F.col("ref") == F.col("dep"), F.col("n"))).over(per_dep)
+    pairs = long_form.withColumn("n_dependent", own).where(F.col("ref") != F.col("dep"))
     return pairs.select(
         *space.label_columns("dep", "dependent"),
         *space.label_columns("ref", "referenced"),
