@@ -9,6 +9,7 @@ headers differ from file to file.
 
 from __future__ import annotations
 
+import os
 import posixpath
 
 from pyspark.errors import AnalysisException
@@ -21,6 +22,19 @@ class InputFolderError(ValueError):
     """The input folder is missing or holds no file."""
 
 
+def _normal(p: str) -> str:
+    """Comparable form of a folder path: local paths (plain or ``file:``)
+    become absolute paths, other URIs are kept as they are."""
+    p = p.rstrip("/")
+    if p.startswith("file:"):
+        p = p[len("file:") :]
+        while p.startswith("//"):
+            p = p[1:]
+    if "://" in p:
+        return p
+    return os.path.abspath(p)
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Paths of the plain files directly in ``path``, sorted."""
     try:
@@ -28,13 +42,8 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
         paths = [r["path"] for r in listing.collect()]
     except AnalysisException:
         return []
-    base = path.rstrip("/")
-    keep = []
-    for p in paths:
-        parent = posixpath.dirname(p)
-        if parent.endswith(base) or parent.replace("file:", "").rstrip("/") == base.replace("file:", ""):
-            keep.append(p)
-    return sorted(keep)
+    base = _normal(path)
+    return sorted(p for p in paths if _normal(posixpath.dirname(p)) == base)
 
 
 def load_folder(

@@ -110,3 +110,16 @@ def test_csv_round_trip_equals_parquet(spark, tmp_dir):
         got = {r.line for r in discover_folder(spark, folder, preset).collect()}
         assert got == expected, preset
         assert len(got) == (16 if preset == "trimmed" else 95)
+
+
+def test_folder_listing_sibling_and_path_forms(spark, tmp_dir):
+    from tablesift.sources.folder import _normal
+
+    write(os.path.join(tmp_dir, "a"), "x.csv", "k\n1\n")
+    write(os.path.join(tmp_dir, "ba"), "y.csv", "k\n2\n")
+    folder = os.path.join(tmp_dir, "a")
+    assert [os.path.basename(f) for f in list_files(spark, folder)] == ["x.csv"]
+    assert [os.path.basename(f) for f in list_files(spark, folder + "/")] == ["x.csv"]
+    assert [os.path.basename(f) for f in list_files(spark, "file:" + folder)] == ["x.csv"]
+    assert _normal("file:///data/x/") == _normal("/data/x") == _normal("file:/data/x")
+    assert _normal("hdfs://nn/data/x/") == "hdfs://nn/data/x"
