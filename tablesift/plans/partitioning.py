@@ -39,9 +39,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
     With a shared checkpoint folder (``spark.checkpoint.dir``) the frame is
     checkpointed there, which also cuts its lineage; without one (local
-    runs) it is cached.  Only for frames of bounded size, such as one row
-    per attribute.
+    runs) it is cached and filled at once.  Used for frames of bounded size
+    (one row per attribute, candidate lists) and for the levels of
+    level-wise searches, which callers release when the next level exists.
     """
     if df.sparkSession.sparkContext.getCheckpointDir() is not None:
         return df.checkpoint()
-    return df.cache()
+    cached = df.cache()
+    cached.count()  # fill the cache now, like the eager checkpoint
+    return cached
