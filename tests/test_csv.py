@@ -123,3 +123,18 @@ def test_folder_listing_sibling_and_path_forms(spark, tmp_dir):
     assert [os.path.basename(f) for f in list_files(spark, "file:" + folder)] == ["x.csv"]
     assert _normal("file:///data/x/") == _normal("/data/x") == _normal("file:/data/x")
     assert _normal("hdfs://nn/data/x/") == "hdfs://nn/data/x"
+
+
+def test_quoted_header_comma_file(spark, tmp_dir):
+    # Same shape as the reference's toy input: quoted header, commas, no final newline.
+    from tablesift.sources.csv import CsvOptions
+
+    write(tmp_dir, "toy.csv", '"Name","Age"\n1,2\n3,4\n5,6')
+    opts = CsvOptions(sep=",")
+    tables = load_folder(spark, tmp_dir, opts)
+    assert tables["toy.csv"].columns == ["Name", "Age"]
+    assert [tuple(r) for r in tables["toy.csv"].collect()] == [("1", "2"), ("3", "4"), ("5", "6")]
+    assert discover_folder(spark, tmp_dir, "trimmed", csv=opts).count() == 0
+    write(tmp_dir, "more.csv", '"Id"\n3\n5')
+    lines = {r.line for r in discover_folder(spark, tmp_dir, "trimmed", csv=opts).collect()}
+    assert lines == {"Id < Name"}
