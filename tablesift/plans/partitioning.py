@@ -34,6 +34,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def shared_checkpoint_dir(spark) -> str | None:
+    """The checkpoint folder the session names (``spark.checkpoint.dir``),
+    installed on the context if only the session conf carries it."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named:
+            sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a small frame that a plan reads more than once, once.
 
@@ -43,7 +54,7 @@ def materialize(df: DataFrame) -> DataFrame:
     (one row per attribute, candidate lists) and for the levels of
     level-wise searches, which callers release when the next level exists.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is not None:
+    if shared_checkpoint_dir(df.sparkSession) is not None:
         return df.checkpoint()
     cached = df.cache()
     cached.count()  # fill the cache now, like the eager checkpoint

@@ -72,3 +72,12 @@ def test_spread_only_small_scans(spark):
     assert P.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(1000).repartition(P.SPREAD_MAX_INPUT_PARTITIONS + 1)
     assert P.spread(many) is many
+
+
+def test_materialize_uses_session_checkpoint_dir(spark):
+    from tablesift.plans import partitioning as P
+
+    assert P.shared_checkpoint_dir(spark) is not None  # set by the test session
+    df = P.materialize(spark.range(5))
+    assert df.count() == 5
+    assert "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
