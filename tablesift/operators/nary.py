@@ -39,6 +39,7 @@ from tablesift.operators.attributes import (
     IndOptions,
     inline_chunks,
     needs_trim,
+    sql_string,
 )
 from tablesift.operators.ind import unary_inds
 from tablesift.plans.partitioning import materialize, spread
@@ -166,9 +167,12 @@ def test_candidates(
     masks = sets.select(F.explode(members).alias("dep_side"), *words).groupBy("dep_side").agg(
         *[F.bit_and(wc).alias(wc) for wc in words]
     )
-    side_ids = spark.createDataFrame(
-        [(i, t, list(cols)) for i, (t, cols) in enumerate(sides)], "sid int, t string, cols array<string>"
+    # Built JVM-side from literals (no Python workers for a handful of rows).
+    side_rows = ", ".join(
+        f"named_struct('sid', {i}, 't', {sql_string(t)}, 'cols', array({', '.join(sql_string(c) for c in cols)}))"
+        for i, (t, cols) in enumerate(sides)
     )
+    side_ids = spark.range(1).select(F.expr(f"inline(array({side_rows}))"))
     dep_ids = side_ids.select(F.col("sid").alias("dep_side"), F.col("t").alias("dt"), F.col("cols").alias("dcols"))
     ref_ids = side_ids.select(F.col("sid").alias("ref_side"), F.col("t").alias("rt"), F.col("cols").alias("rcols"))
     # Side tables have one row per column tuple named by a candidate, a
