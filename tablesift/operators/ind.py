@@ -18,10 +18,6 @@ from tablesift.functions.text import bracket_list, file_stem
 from tablesift.operators.attributes import AttributeSpace, attribute_profile_ids, distinct_sets
 from tablesift.plans.partitioning import materialize
 
-def _small(space: AttributeSpace, df: DataFrame) -> DataFrame:
-    return space.small(df)
-
-
 def reference_masks(space: AttributeSpace) -> DataFrame:
     """``(dep, w0..wK)``: for every attribute with at least one value, the
     intersection of all attribute sets holding it (its own bit included)."""
@@ -97,7 +93,7 @@ def ind_candidates(space: AttributeSpace, profile: DataFrame | None = None) -> D
     pairs = deps.select(
         "dep", "n_dependent", F.explode(F.filter(all_ids, lambda r: r != F.col("dep"))).alias("ref")
     )
-    refs = _small(space, counts.select(F.col("attr_id").alias("ref"), F.col("n_distinct").alias("n_referenced")))
+    refs = space.small(counts.select(F.col("attr_id").alias("ref"), F.col("n_distinct").alias("n_referenced")))
     joined = pairs.join(refs, "ref", "left")
     n_ref = F.coalesce(F.col("n_referenced"), F.lit(0)).cast("long")
     return joined.select(
@@ -152,7 +148,7 @@ def ind_implied(space: AttributeSpace) -> DataFrame:
     # One row per attribute, read twice below (edges and lookup side).
     masks = materialize(_ref_only_masks(space))
     edges = masks.select("dep", F.explode(space.members()).alias("mid"))
-    nxt = _small(space, masks.select(F.col("dep").alias("mid"), *space.word_cols))
+    nxt = space.small(masks.select(F.col("dep").alias("mid"), *space.word_cols))
     reach = edges.join(nxt, "mid").groupBy("dep").agg(*[F.bit_or(w).alias(w) for w in space.word_cols])
     implied = reach.select("dep", F.explode(space.members()).alias("ref")).where(F.col("ref") != F.col("dep"))
     return implied.select(*space.label_columns("dep", "dependent"), *space.label_columns("ref", "referenced"))
