@@ -11,18 +11,20 @@ Two presets decide what counts as an attribute and as a value:
 
 Plan shape (one lazy DataFrame plan, three shuffles):
 
-1. one scan per table, ``inline(array(struct(mask words, value)))`` unpivots
-   every cell to (value, attribute bit);
-2. ``groupBy(value)`` + ``bit_or`` per mask word -> the attribute set of every
-   value (hash aggregate with map-side partial aggregation, so a value that
-   sits in a third of all rows still costs one row per map task);
+1. one scan per table, ``inline(array(named_struct(word, bits, v)))`` (SQL
+   text of a fixed shape) unpivots every cell to (value, attribute bit);
+2. ``groupBy(value)`` + one ``bit_or`` per mask word (pivoting ``bits`` by
+   ``word``) -> the attribute set of every value (hash aggregate with map-side
+   partial aggregation, so a value that sits in a third of all rows still
+   costs one row per map task);
 3. ``groupBy(mask words)`` + ``count`` -> distinct attribute sets with the
    number of values having exactly that set.  This table is tiny in practice
    (it is bounded by the number of distinct values, not by rows) and every
    later step works on it.
 
 Attributes are bits in ``bigint`` words, 64 per word; the number of words
-grows with the number of attributes, so wide schemas only add columns.
+grows with the number of attributes, so wide schemas only add aggregate
+columns, and the plan text grows linearly with the number of attributes.
 """
 
 from __future__ import annotations
