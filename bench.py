@@ -5,6 +5,9 @@ Prints one JSON line: ``{"metric", "value", "unit", "queries", "sf"}``;
 completion through the ``noop`` sink (full execution, nothing collected),
 after one warm-up run of the flagship on the smallest data set so JVM start
 and code generation are not charged to the first query.
+
+Environment: ``BENCH_SF_DIR``, ``BENCH_CPUS``, ``BENCH_SHUFFLE_PARTITIONS``
+(default twice the cores; AQE coalesces), ``BENCH_DRIVER_MEMORY``.
 """
 
 from __future__ import annotations
@@ -45,7 +48,7 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app_name="tablesift-bench",
-        shuffle_partitions=max(8, 2 * cpus),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))),
         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
     )
     checkpoint_dir(spark)
