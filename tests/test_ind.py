@@ -251,3 +251,31 @@ def test_bit_and_equals_array_intersect_form(spark):
         (labels[r.dep], labels[x]) for r in inter.collect() for x in r.refs if x != r.dep
     }
     assert via_arrays == found(spark, tables, "trimmed")
+
+
+try:
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    VALUES = st.sampled_from(["1", "2", "3", " 1", "1\t", "", None, "01", "x"])
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(
+        st.lists(
+            st.lists(st.lists(VALUES, min_size=3, max_size=3), min_size=1, max_size=5),
+            min_size=1,
+            max_size=3,
+        )
+    )
+    def test_generated_tables_against_brute_force(spark, table_rows):
+        tables = {}
+        for t, rows in enumerate(table_rows):
+            names = [f"c{(t * 2 + j) % 5}" for j in range(3)]
+            names = [n if names.index(n) == j else f"{n}_{j}" for j, n in enumerate(names)]
+            tables[f"t{t}"] = {n: [r[j] for r in rows] for j, n in enumerate(names)}
+        for preset in ("trimmed", "strict"):
+            expected, _ = brute(tables, preset)
+            assert found(spark, tables, preset) == expected, preset
+
+except ImportError:  # hypothesis is optional
+    pass
