@@ -68,3 +68,31 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_conf(
+    input_bytes: int,
+    cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    max_split_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` on ``cores`` cores.
+
+    * ``spark.sql.shuffle.partitions``: enough that the largest shuffle (the
+      value-grouping one, about the size of the scanned columns before
+      partial aggregation) lands at ``target_partition_bytes`` per partition,
+      and at least two waves of the cluster's cores.  AQE then coalesces
+      small partitions and splits skewed ones.
+    * ``spark.sql.files.maxPartitionBytes``: scan splits of at most
+      ``max_split_bytes`` (row groups permitting).
+    * AQE advisory size equal to the target, so coalescing and the initial
+      count agree.
+    """
+    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }

@@ -81,3 +81,11 @@ def test_materialize_uses_session_checkpoint_dir(spark):
     df = P.materialize(spark.range(5))
     assert df.count() == 5
     assert "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scale_conf():
+    from tablesift.session import scale_conf
+
+    conf = scale_conf(100 * 1024**4, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10 * 1024**2, cores=8)["spark.sql.shuffle.partitions"] == "16"
