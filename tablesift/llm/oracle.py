@@ -57,6 +57,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND len(failed_rules) = 0 AS kept, failed_rules, n_stop_words, n_lines
 FROM judged"""
 
+OP5 = r"""WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM d GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)"""
+
 ORACLES = {
+    "op5_exact_dedup": OP5,
     "op10_quality_rules": OP10,
 }

@@ -4,15 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesift.llm import quality_rules as quality
+from tablesift.llm.exact_dedup import exact_dedup
+from tablesift.llm.license_scan import license_digest, license_scan
+from tablesift.llm.mixing import drawn, mix
+from tablesift.llm.packing import pack_documents
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def label_domain() -> Column:
+    """Domain of a labelled document: toxic, or its quality."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+
+
+# Shares of the tokens that each domain is to have.
+DOMAIN_TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows, domains = mix(documents(spark, sf_dir), labels, label_domain(), DOMAIN_TARGETS)
+    return rows.select(
+        F.col("__id").alias("doc_id"),
+        F.col("__n").alias("n_tokens"),
+        *[F.round(F.element_at("__posterior", k + 1), 9).alias(f"p_{d}") for k, d in enumerate(domains)],
+        F.round("__rate", 9).alias("rate"),
+        drawn(F.col("__id"), F.col("__rate")).alias("copies"),
+    )
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir))
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(documents(spark, sf_dir))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(license_scan(documents(spark, sf_dir)))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(documents(spark, sf_dir))
     return judged.select(
@@ -23,6 +61,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": op1_mixing,
+        "op3_packing": op3_packing,
+        "op5_exact_dedup": op5_exact_dedup,
+        "op8_license_scan": op8_license_scan,
         "op10_quality_rules": op10_quality_rules,
     }
 
