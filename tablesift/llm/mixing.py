@@ -38,13 +38,13 @@ _SMOOTH = 0.5
 
 
 def _features(text: Column) -> Column:
-    """Words of the text, and marks for its share of symbols and its length."""
+    """Words of the text, and a mark for its share of symbols."""
     text = F.coalesce(text, F.lit(""))
     words = F.split(F.lower(text), _PARTS, -1)
     size = F.octet_length(text)
     symbols = F.regexp_count(text, F.lit(r"[#*$%&|<>!]"))
     share = F.when(size > 0, F.ceil(F.log2(1 + 100 * symbols / size))).otherwise(F.lit(0)).cast("int")
-    return F.concat(words, F.array(F.concat(F.lit("#symbols "), share), F.concat(F.lit("#length "), F.ceil(F.log2(1 + size)))))
+    return F.concat(words, F.array(F.concat(F.lit("#symbols "), share)))
 
 
 def _n_tokens(text: Column) -> Column:
