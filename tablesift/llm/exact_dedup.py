@@ -44,7 +44,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows in key and id order: the first of each key, with the copies summed."""
     held: pa.Table | None = None
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
+        rows = pa.table(batch.columns, names=batch.schema.names)
         rows = rows if held is None else pa.concat_tables([held, rows])
         if not rows.num_rows:
             continue

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablesift.llm import quality_rules as quality
 from tablesift.llm.exact_dedup import exact_dedup
 from tablesift.llm.license_scan import license_digest, license_scan
+from tablesift.llm.lz_dedup import duplicate_spans
 from tablesift.llm.mixing import drawn, mix
 from tablesift.llm.packing import pack_documents
 
@@ -43,6 +44,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op4_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_spans(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op3_packing": op3_packing,
+        "op4_lz_dedup": op4_lz_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op8_license_scan": op8_license_scan,
         "op10_quality_rules": op10_quality_rules,
