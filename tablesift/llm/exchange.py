@@ -99,6 +99,15 @@ def unpack40(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte: all lowest bytes, then the next, ...; what sorted or small numbers share then compresses well in a shuffle."""
+    return values.astype(f"<{values.dtype.kind}8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(raw: bytes, kind: str = "u") -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).reshape(-1).view(f"<{kind}8")
+
+
 # Answers of one bit an entry
 
 SEEDS = 0

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.llm import quality_rules as quality
+from tablesift.llm.ctw import score
 from tablesift.llm.exact_dedup import exact_dedup
 from tablesift.llm.license_scan import license_digest, license_scan
 from tablesift.llm.lz_dedup import duplicate_spans
@@ -40,6 +41,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    scored = score(documents(spark, sf_dir), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
@@ -67,6 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_ctw": op2_ctw,
         "op3_packing": op3_packing,
         "op4_lz_dedup": op4_lz_dedup,
         "op5_exact_dedup": op5_exact_dedup,
