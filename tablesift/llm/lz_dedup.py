@@ -33,7 +33,7 @@ from tablesift.llm import exchange as X
 from tablesift.llm.anchors import anchors, rolling, word_units
 
 BLOCKS = 1
-_BLOCK = np.dtype([("hash", "<u8"), ("check", "<u4"), ("id", "<u2")])
+_BLOCK = np.dtype([("hash", "<u8"), ("check", "<u4"), ("id", "<u4")])
 
 
 class _Batch:

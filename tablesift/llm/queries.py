@@ -14,6 +14,7 @@ from tablesift.llm.license_scan import license_digest, license_scan
 from tablesift.llm.lz_dedup import duplicate_spans
 from tablesift.llm.mixing import drawn, mix
 from tablesift.llm.packing import pack_documents
+from tablesift.llm.rlbwt_dedup import duplicate_bytes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op6_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_bytes(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest(license_scan(documents(spark, sf_dir)))
 
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": op3_packing,
         "op4_lz_dedup": op4_lz_dedup,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_rlbwt_dedup": op6_rlbwt_dedup,
         "op8_license_scan": op8_license_scan,
         "op10_quality_rules": op10_quality_rules,
     }
