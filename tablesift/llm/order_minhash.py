@@ -1,11 +1,27 @@
-"""Near-duplicate classes by Order MinHash."""
+"""Near-duplicate classes by Order MinHash.
+
+A hash function samples the two labelled shingles with the smallest values and
+keeps them in the order of the text; several samples make a band.  Documents
+that share a band are candidates, and a banded alignment of their shingles
+decides.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from bisect import bisect_left
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablesift.llm.anchors import mix, rolling, word_units
+from tablesift.llm.anchors import blocks, mix, rolling, word_units
+from tablesift.session import checkpoint_dir
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 POS_BITS = np.uint64(20)
@@ -80,3 +96,267 @@ def sketches(shingles: np.ndarray, starts: np.ndarray, n: np.ndarray, bands: int
             key = mix(key + early * np.uint64(0x9E3779B97F4A7C15) + mix(late))
         out[some, b] = key
     return out
+
+
+def banded_lcs(x: list[int], y: list[int], band: int) -> int:
+    """Longest common subsequence over alignments that stay within ``band`` of the diagonal.
+
+    One bit for each place of the band; a step along ``y`` is one addition.
+    """
+    places: dict[int, list[int]] = {}
+    for i, s in enumerate(x):
+        places.setdefault(s, []).append(i)
+    width = 2 * band + 1
+    window = (1 << width) - 1
+    v, matched = window, 0
+    for j, s in enumerate(y):
+        low = j - band
+        if j:
+            matched += 1 - (v & 1)
+            v = (v >> 1) | (1 << (width - 1))
+        at = places.get(s, ())
+        u = 0
+        for p in at[bisect_left(at, low) :]:
+            if p > j + band:
+                break
+            u |= 1 << (p - low)
+        u &= v
+        if u:
+            v = ((v + u) | (v - u)) & window
+    return matched + width - v.bit_count()
+
+
+def increasing(places: np.ndarray) -> int:
+    """Length of the longest increasing subsequence."""
+    tails: list[int] = []
+    for p in places.tolist():
+        at = bisect_left(tails, p)
+        tails[at : at + 1] = [p]
+    return len(tails)
+
+
+def is_near(one: np.ndarray, two: np.ndarray, similarity: float) -> bool:
+    """Whether the best alignment of two sequences of labelled shingles matches ``similarity`` of their union.
+
+    M matched of n and m are M / (n + m - M).  Shared shingles bound M from
+    above and those of them in the same order from below; the banded alignment
+    decides in between.  An alignment that suffices can't leave the band.
+    """
+    n, m = len(one), len(two)
+    need = int(np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9))
+    if min(n, m) < need:
+        return False
+    _, at, places = np.intersect1d(one, two, assume_unique=True, return_indices=True)
+    if len(at) < need:
+        return False
+    places = places[np.argsort(at)]
+    if np.all(np.diff(places) > 0) or increasing(places) >= need:
+        return True
+    return banded_lcs(one.tolist(), two.tolist(), n + m - 2 * need) >= need
+
+
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, per_band: int) -> DataFrame:
+    """doc_id, digest of the words (h1, h2), shingles (n), band keys, and the labelled shingles themselves."""
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", docs.schema[id_col].dataType),
+            T.StructField("h1", T.LongType()),
+            T.StructField("h2", T.LongType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("shingles", T.BinaryType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            lengths = pc.binary_length(whole.column(1)).to_numpy(zero_copy_only=False)
+            for s, e in blocks(lengths, 1 << 20):
+                part = whole.slice(s, e - s)
+                shingles, _, starts, n = labelled_shingles(part.column(1).to_pylist(), k)
+                keys = sketches(shingles, starts, n, bands, per_band)
+                digests = np.empty((len(n), 2), dtype=np.int64)
+                raw = []
+                for i, (a, c) in enumerate(zip(starts, n, strict=True)):
+                    raw.append(shingles[a : a + c].astype("<u8").tobytes())
+                    digests[i] = np.frombuffer(hashlib.blake2b(raw[i], digest_size=16).digest(), dtype="<i8")
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]), pa.int32())
+                values = pa.array(keys[n > 0].reshape(-1).view(np.int64))
+                columns = [part.column(0), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(n, pa.int64())]
+                columns += [pa.ListArray.from_arrays(offsets, values), pa.array(raw, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, schema).withColumn("node", F.monotonically_increasing_id())
+
+
+def candidates(banded: DataFrame, salts: int) -> DataFrame:
+    """Pairs (node, pivot, n_bands): in each band, nodes to a pivot of their salt, and these pivots to the smallest.
+
+    A band that a third of all rows share is so spread over ``salts`` tasks,
+    and the pairs grow with its nodes, not with their square.
+    """
+    salted = banded.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)))
+    stars = salted.withColumn("pivot", F.min("node").over(Window.partitionBy("key", "salt")))
+    heads = stars.where("node = pivot").withColumn("pivot", F.min("node").over(Window.partitionBy("key")))
+    pairs = stars.select("node", "pivot").unionAll(heads.select("node", "pivot")).where("node <> pivot")
+    return pairs.groupBy("node", "pivot").agg(F.count("*").alias("n_bands"))
+
+
+def verified(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (node, pivot) whose alignment is similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [
+                is_near(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), similarity)
+                for a, b in zip(batch["mine"].to_pylist(), batch["theirs"].to_pylist(), strict=True)
+            ]
+            yield batch.select(["node", "pivot"]).filter(pa.array(near, pa.bool_()))
+
+    # sizes first: only pairs that could match move their shingles
+    sizes = prints.select("node", "n")
+    pairs = pairs.select("node", "pivot").join(sizes, "node").withColumnRenamed("n", "n_node")
+    pairs = pairs.join(sizes.select(F.col("node").alias("pivot"), "n"), "pivot")
+    pairs = pairs.where(F.least("n", "n_node") >= F.greatest("n", "n_node") * (similarity - 1e-9)).select("node", "pivot")
+    mine = prints.select("node", F.col("shingles").alias("mine"))
+    theirs = prints.select(F.col("node").alias("pivot"), F.col("shingles").alias("theirs"))
+    return pairs.join(mine, "node").join(theirs, "pivot").mapInArrow(run, "node long, pivot long")
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """(node, root): the smallest node of each linked one's component; hooks roots until no link joins two of them."""
+    both = links.unionAll(links.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
+    roots = both.groupBy("node").agg(F.min("pivot").alias("root")).select("node", F.least("node", "root").alias("root")).checkpoint()
+    while True:
+        ends = links.join(roots, "node").withColumnRenamed("root", "mine")
+        ends = ends.join(roots.select(F.col("node").alias("pivot"), "root"), "pivot").where("mine <> root")
+        hooks = ends.groupBy(F.greatest("mine", "root").alias("root")).agg(F.min(F.least("mine", "root")).alias("lower")).checkpoint()
+        if hooks.isEmpty():
+            return roots
+        roots = roots.join(hooks, "root", "left").select("node", F.coalesce("lower", "root").alias("root")).checkpoint()
+
+
+def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components so far."""
+    out = pairs.join(roots, "node", "left").withColumn("mine", F.coalesce("root", "node")).drop("root")
+    out = out.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").withColumn("theirs", F.coalesce("root", "pivot"))
+    return out.where("mine <> theirs").select("node", "pivot")
+
+
+def unresolved(banded: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes of one band that are in different components and of similar size."""
+    rows = banded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    many = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    rows = rows.join(many, "key", "left_semi")
+    other = rows.select("key", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("theirs"))
+    near = F.least("n", "m") >= F.greatest("n", "m") * (similarity - 1e-9)
+    return rows.join(other, "key").where((F.col("root") > F.col("theirs")) & near).select("node", "pivot").distinct()
+
+
+def _with_frequent(rows: DataFrame, table: DataFrame, keys: list[str], size: str, share: int = 1000) -> DataFrame:
+    """Left join of rows (with a unique ``node``) to one row per key.
+
+    Keys with more than 1/``share`` of all rows are fewer than ``share``, so
+    that part is broadcast; no key of the rest is frequent.
+    """
+    total = rows.count()
+    frequent = F.col(size) * share > total
+    got = [c for c in table.columns if c not in keys]
+    hot = table.where(frequent).select(*[F.col(k).alias(f"hot_{k}") for k in keys], *[F.col(c).alias(f"hot_{c}") for c in got])
+    match = F.lit(True)
+    for k in keys:
+        match = match & (F.col(k) == F.col(f"hot_{k}"))
+    out = rows.join(F.broadcast(hot), match, "left")
+    # rows that have their answer go to a place of their own
+    found = F.col(f"hot_{size}").isNotNull()
+    join_on = [F.when(found, -F.col("node") - 1).otherwise(F.col(keys[0])).alias("j0")]
+    join_on += [F.when(~found, F.col(k)).alias(f"j{i}") for i, k in enumerate(keys[1:], 1)]
+    out = out.select("*", *join_on)
+    rest = table.where(~frequent).select(*[F.col(k).alias(f"j{i}") for i, k in enumerate(keys)], *got)
+    out = out.join(rest, [f"j{i}" for i in range(len(keys))], "left")
+    return out.select(*[rows[c] for c in rows.columns], *[F.coalesce(f"hot_{c}", c).alias(c) for c in got])
+
+
+def near_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    similarity: float = 0.8,
+    bands: int = 16,
+    per_band: int = 2,
+) -> DataFrame:
+    """One row per input row: doc_id, class_id, class_size, kept, n_shingles, and ``node`` (a number of the row).
+
+    Classes are the components of the links between texts whose sequences of
+    ``k``-word shingles (A-Z lower-cased) align to ``similarity`` or more.
+    ``class_id`` is the smallest id of the class, whose row is kept.  A pair
+    at the threshold meets in a band with odds of 1 - (1 - s^(2 per_band))^bands,
+    which is 0.9998 as set; every candidate is verified.
+
+    1. One pass writes fingerprints to the shared checkpoint folder; texts of
+       equal words become one node.
+    2. In each band, nodes are paired with a pivot; verified pairs are links.
+       First one pivot per node, then the others that would join components.
+    3. Nodes that meet in a band and are still in different components are
+       verified pair by pair, so no link that would join two is lost.
+
+    Defined results: a null text is empty; texts without words are one class;
+    one of fewer than ``k`` words has one shingle; repeated rows are one class, of which one is kept;
+    null ids come last; an empty table gives an empty result; other columns
+    are not read.
+    """
+    spark = docs.sparkSession
+    path = f"{checkpoint_dir(spark)}/order_minhash-{uuid.uuid4().hex}"
+    fingerprints(docs, id_col, text_col, k, bands, per_band).write.parquet(path)
+    prints = spark.read.parquet(path)
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    copies = prints.groupBy("h1", "h2").agg(F.min("node").alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    members = _with_frequent(prints.select("node", "doc_id", "h1", "h2", "n"), copies, ["h1", "h2"], "copies")
+    members = members.select("node", "doc_id", "n", F.coalesce("first", "node").alias("rep")).checkpoint()
+
+    nodes = prints.join(members.where("node = rep").select("node"), "node", "left_semi")
+    banded = nodes.select("node", "n", F.explode("bands").alias("key"))
+    # a band of one node pairs with nothing
+    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("in_band"))
+    shared = shared.where("low <> high").select("key", "in_band")
+    banded = _with_frequent(banded, shared, ["key"], "in_band").where("in_band IS NOT NULL").select("key", "node", "n").checkpoint()
+
+    pairs = candidates(banded, salts).checkpoint()
+    best = pairs.groupBy("node").agg(F.min(F.struct(-F.col("n_bands"), "pivot")).alias("b")).select("node", F.col("b.pivot").alias("pivot"))
+    links = verified(best, prints, similarity).checkpoint()
+    roots = connected(links)
+    tried = best.checkpoint()
+    rest = across(pairs.join(tried, ["node", "pivot"], "left_anti"), roots).checkpoint()
+    links = links.unionAll(verified(rest, prints, similarity)).checkpoint()
+    roots = connected(links)
+    tried = tried.unionAll(rest)
+    tried = tried.unionAll(tried.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
+    last = unresolved(banded, roots, similarity).join(tried, ["node", "pivot"], "left_anti").checkpoint()
+    links = links.unionAll(verified(last, prints, similarity)).checkpoint()
+    roots = connected(links).withColumnRenamed("node", "rep")
+
+    sizes = roots.groupBy("rep").agg(F.min("root").alias("root"))
+    reps = members.where("node = rep").select("rep").join(sizes, "rep").select("rep", "root")
+    by_rep = members.groupBy("rep").agg(F.count("*").alias("rep_size")).join(reps, "rep")
+    rows = _with_frequent(members, by_rep, ["rep"], "rep_size").withColumn("root", F.coalesce("root", "rep"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "node")).alias("first")
+    classes = rows.groupBy("root").agg(first, F.count("*").alias("class_size"))
+    classes = classes.select("root", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("first_node"), "class_size")
+    out = _with_frequent(rows.select("node", "doc_id", "n", "root"), classes, ["root"], "class_size")
+    return out.select("doc_id", "class_id", "class_size", (F.col("node") == F.col("first_node")).alias("kept"), F.col("n").alias("n_shingles"), "node")
+
+
+def keep_first_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``near_classes`` keeps, with all their columns; of rows that repeat id and text, one.
+
+    Rows are told by their id and a digest of their text.
+    """
+    digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
+    keyed = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), digest.alias("sha")))
+    kept = near_classes(keyed, "__key", text_col, **options).where("kept").select(F.col("doc_id").alias("__key")).distinct()
+    one = keyed.join(kept, keyed["__key"].eqNullSafe(kept["__key"]), "left_semi")
+    # repeated rows: one of them
+    return one.dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -13,6 +13,7 @@ from tablesift.llm.exact_dedup import exact_dedup
 from tablesift.llm.license_scan import license_digest, license_scan
 from tablesift.llm.lz_dedup import duplicate_spans
 from tablesift.llm.mixing import drawn, mix
+from tablesift.llm.order_minhash import near_classes
 from tablesift.llm.packing import pack_documents
 from tablesift.llm.rlbwt_dedup import duplicate_bytes
 
@@ -68,6 +69,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest(license_scan(documents(spark, sf_dir)))
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(documents(spark, sf_dir)).drop("node")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(documents(spark, sf_dir))
     return judged.select(
@@ -85,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_exact_dedup": op5_exact_dedup,
         "op6_rlbwt_dedup": op6_rlbwt_dedup,
         "op8_license_scan": op8_license_scan,
+        "op9_order_minhash": op9_order_minhash,
         "op10_quality_rules": op10_quality_rules,
     }
 
