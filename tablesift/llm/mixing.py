@@ -202,3 +202,20 @@ def drawn(id_: Column, rate: Column) -> Column:
     """Copies of a document at its rate: the whole part, and one more with the odds of the rest, by a hash of its id."""
     chance = F.pmod(F.xxhash64(id_, F.lit("draw")), F.lit(1 << 40)) / float(1 << 40)
     return (F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+
+
+def mixed(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` as often as their fitted rates draw them, with all their columns.
+
+    Takes the options of ``mix``.  Rates are fitted on ids, counts and
+    posteriors; the texts are read once more to apply them, without a join.
+    """
+    checkpoint_dir(docs.sparkSession)
+    total_tokens = options.pop("total_tokens", None)
+    model = fit_classifier(docs, labels, domain, id_col, text_col, options.pop("max_labelled", 20_000), options.pop("vocabulary", 256))
+    shares = [targets.get(d, 0.0) for d in model[0]] if model[0] != ["all"] else [1.0]
+    rate, _, _ = fit_rates(posteriors(docs, model, id_col, text_col).checkpoint(), shares, total_tokens)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    whole = whole.select("__row", F.col("__row").getField(id_col).alias("__doc"), F.col("__row").getField(text_col).alias("__text"))
+    rows = posteriors(whole, model, "__doc", "__text", ["__row"])
+    return rows.select(F.explode(F.array_repeat("__row", drawn(F.col("__id"), rate))).alias("__row")).select("__row.*")

@@ -355,8 +355,9 @@ def keep_first_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows are told by their id and a digest of their text.
     """
     digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    keyed = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), digest.alias("sha")))
-    kept = near_classes(keyed, "__key", text_col, **options).where("kept").select(F.col("doc_id").alias("__key")).distinct()
-    one = keyed.join(kept, keyed["__key"].eqNullSafe(kept["__key"]), "left_semi")
-    # repeated rows: one of them
-    return one.dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), digest.alias("sha"))
+    kept = near_classes(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", **options)
+    kept = kept.where("kept").select(F.col("doc_id").alias("__near_key"))
+    # a row's key is never null, and the join leaves rows of one key together
+    rows = docs.withColumn("__near_key", key).join(kept, "__near_key", "left_semi").dropDuplicates(["__near_key"])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

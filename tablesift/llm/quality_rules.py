@@ -179,3 +179,15 @@ def quality_rules(
         (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     )
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def keep_good(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    rules: tuple[Rule, ...] | list[Rule] = DEFAULT_RULES,
+) -> DataFrame:
+    """The rows of ``docs`` that pass, as they are; no join, so null and repeated ids stay too."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    rows = docs.select(whole, F.col(text_col).alias("__source"))
+    return quality_rules(rows, "__row", "__source", rules).where("kept").select("__row.*")
