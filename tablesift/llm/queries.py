@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablesift.llm import quality_rules as quality
 from tablesift.llm.ctw import score
+from tablesift.llm.edit_counts import scrubbed_counts
 from tablesift.llm.exact_dedup import exact_dedup
 from tablesift.llm.license_scan import license_digest, license_scan
 from tablesift.llm.lz_dedup import duplicate_spans
@@ -65,6 +66,11 @@ def op6_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_bytes(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = scrubbed_counts(documents(spark, sf_dir))
+    return counts.drop("text_after").withColumn("text_after_sha256", F.sha2(counts["text_after"], 256))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest(license_scan(documents(spark, sf_dir)))
 
@@ -89,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_lz_dedup": op4_lz_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_rlbwt_dedup": op6_rlbwt_dedup,
+        "op7_edit_counts": op7_edit_counts,
         "op8_license_scan": op8_license_scan,
         "op9_order_minhash": op9_order_minhash,
         "op10_quality_rules": op10_quality_rules,
