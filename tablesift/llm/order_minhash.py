@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,8 +178,10 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int
                 digests = np.empty((len(n), 2), dtype=np.int64)
                 raw = []
                 for i, (a, c) in enumerate(zip(starts, n, strict=True)):
-                    raw.append(shingles[a : a + c].astype("<u8").tobytes())
-                    digests[i] = np.frombuffer(hashlib.blake2b(raw[i], digest_size=16).digest(), dtype="<i8")
+                    own = shingles[a : a + c].astype("<u8")
+                    digests[i] = np.frombuffer(hashlib.blake2b(own.tobytes(), digest_size=16).digest(), dtype="<i8")
+                    # half a hash is enough to compare two texts
+                    raw.append((own >> np.uint64(32)).astype("<u4").tobytes())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]), pa.int32())
                 values = pa.array(keys[n > 0].reshape(-1).view(np.int64))
                 columns = [part.column(0), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(n, pa.int64())]
@@ -209,7 +211,7 @@ def verified(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = [
-                is_near(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), similarity)
+                is_near(np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4"), similarity)
                 for a, b in zip(batch["mine"].to_pylist(), batch["theirs"].to_pylist(), strict=True)
             ]
             yield batch.select(["node", "pivot"]).filter(pa.array(near, pa.bool_()))
@@ -224,17 +226,35 @@ def verified(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFram
     return pairs.join(mine, "node").join(theirs, "pivot").mapInArrow(run, "node long, pivot long")
 
 
-def connected(links: DataFrame) -> DataFrame:
+class Folder:
+    """Writes intermediate tables to a folder of their own in the shared checkpoint folder.
+
+    A table read back has a known size, so Spark broadcasts the small ones
+    and shuffles the others.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.n = spark, f"{checkpoint_dir(spark)}/order_minhash-{uuid.uuid4().hex}", 0
+
+    def cut(self, rows: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.path}/{self.n}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+
+def connected(links: DataFrame, folder: Folder) -> DataFrame:
     """(node, root): the smallest node of each linked one's component; hooks roots until no link joins two of them."""
     both = links.unionAll(links.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
-    roots = both.groupBy("node").agg(F.min("pivot").alias("root")).select("node", F.least("node", "root").alias("root")).checkpoint()
+    roots = both.groupBy("node").agg(F.min("pivot").alias("root")).select("node", F.least("node", "root").alias("root"))
+    roots = folder.cut(roots)
     while True:
         ends = links.join(roots, "node").withColumnRenamed("root", "mine")
         ends = ends.join(roots.select(F.col("node").alias("pivot"), "root"), "pivot").where("mine <> root")
-        hooks = ends.groupBy(F.greatest("mine", "root").alias("root")).agg(F.min(F.least("mine", "root")).alias("lower")).checkpoint()
+        hooks = folder.cut(ends.groupBy(F.greatest("mine", "root").alias("root")).agg(F.min(F.least("mine", "root")).alias("lower")))
         if hooks.isEmpty():
             return roots
-        roots = roots.join(hooks, "root", "left").select("node", F.coalesce("lower", "root").alias("root")).checkpoint()
+        roots = folder.cut(roots.join(hooks, "root", "left").select("node", F.coalesce("lower", "root").alias("root")))
 
 
 def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -308,39 +328,40 @@ def near_classes(
     are not read.
     """
     spark = docs.sparkSession
-    path = f"{checkpoint_dir(spark)}/order_minhash-{uuid.uuid4().hex}"
-    fingerprints(docs, id_col, text_col, k, bands, per_band).write.parquet(path)
-    prints = spark.read.parquet(path)
+    folder = Folder(spark)
+    prints = folder.cut(fingerprints(docs, id_col, text_col, k, bands, per_band))
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     copies = prints.groupBy("h1", "h2").agg(F.min("node").alias("first"), F.count("*").alias("copies")).where("copies > 1")
     members = _with_frequent(prints.select("node", "doc_id", "h1", "h2", "n"), copies, ["h1", "h2"], "copies")
-    members = members.select("node", "doc_id", "n", F.coalesce("first", "node").alias("rep")).checkpoint()
+    members = folder.cut(members.select("node", "doc_id", "n", F.coalesce("first", "node").alias("rep")))
 
     nodes = prints.join(members.where("node = rep").select("node"), "node", "left_semi")
     banded = nodes.select("node", "n", F.explode("bands").alias("key"))
     # a band of one node pairs with nothing
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("in_band"))
-    shared = shared.where("low <> high").select("key", "in_band")
-    banded = _with_frequent(banded, shared, ["key"], "in_band").where("in_band IS NOT NULL").select("key", "node", "n").checkpoint()
-
-    pairs = candidates(banded, salts).checkpoint()
-    best = pairs.groupBy("node").agg(F.min(F.struct(-F.col("n_bands"), "pivot")).alias("b")).select("node", F.col("b.pivot").alias("pivot"))
-    links = verified(best, prints, similarity).checkpoint()
-    roots = connected(links)
-    tried = best.checkpoint()
-    rest = across(pairs.join(tried, ["node", "pivot"], "left_anti"), roots).checkpoint()
-    links = links.unionAll(verified(rest, prints, similarity)).checkpoint()
-    roots = connected(links)
-    tried = tried.unionAll(rest)
+    shared = folder.cut(shared.where("low <> high").select("key", "in_band"))
+    banded = _with_frequent(banded, shared, ["key"], "in_band").where("in_band IS NOT NULL").select("key", "node", "n")
+    banded = folder.cut(banded)
+    # from here on, only the shingles of these nodes move
+    meeting = banded.select("node").distinct()
+    prints = folder.cut(prints.select("node", "n", "shingles").join(meeting, "node", "left_semi"))
+
+    pairs = folder.cut(candidates(banded, salts))
+    best = pairs.groupBy("node").agg(F.min(F.struct(-F.col("n_bands"), "pivot")).alias("b"))
+    best = folder.cut(best.select("node", F.col("b.pivot").alias("pivot")))
+    links = folder.cut(verified(best, prints, similarity))
+    roots = connected(links, folder)
+    rest = folder.cut(across(pairs.join(best, ["node", "pivot"], "left_anti"), roots))
+    links = links.unionAll(folder.cut(verified(rest, prints, similarity)))
+    roots = connected(links, folder)
+    tried = best.unionAll(rest)
     tried = tried.unionAll(tried.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
-    last = unresolved(banded, roots, similarity).join(tried, ["node", "pivot"], "left_anti").checkpoint()
-    links = links.unionAll(verified(last, prints, similarity)).checkpoint()
-    roots = connected(links).withColumnRenamed("node", "rep")
+    last = folder.cut(unresolved(banded, roots, similarity).join(tried, ["node", "pivot"], "left_anti"))
+    links = links.unionAll(folder.cut(verified(last, prints, similarity)))
+    roots = connected(links, folder).withColumnRenamed("node", "rep")
 
-    sizes = roots.groupBy("rep").agg(F.min("root").alias("root"))
-    reps = members.where("node = rep").select("rep").join(sizes, "rep").select("rep", "root")
-    by_rep = members.groupBy("rep").agg(F.count("*").alias("rep_size")).join(reps, "rep")
+    by_rep = members.groupBy("rep").agg(F.count("*").alias("rep_size")).join(roots, "rep")
     rows = _with_frequent(members, by_rep, ["rep"], "rep_size").withColumn("root", F.coalesce("root", "rep"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "node")).alias("first")
     classes = rows.groupBy("root").agg(first, F.count("*").alias("class_size"))
