@@ -24,6 +24,11 @@ from tablesift.llm.anchors import blocks, mix, rolling, word_units
 from tablesift.session import checkpoint_dir
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+# bins of a signature, and how many deviations below the threshold it may be
+BINS = 512
+MARGIN = 3.5
+# nodes of a band that are compared in one task at most, times two
+BLOCK = 2048
 POS_BITS = np.uint64(20)
 POS_MASK = np.uint64((1 << 20) - 1)
 
@@ -98,6 +103,28 @@ def sketches(shingles: np.ndarray, starts: np.ndarray, n: np.ndarray, bands: int
     return out
 
 
+def signatures(shingles: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``BINS`` bytes for each text: of the shingles of a bin the smallest, by its hash (1 to 255); 0 for an empty bin."""
+    out = np.zeros((len(n), BINS), dtype=np.uint8)
+    h = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
+    place = np.repeat(np.arange(len(n)), n) * BINS + (h % np.uint64(BINS)).astype(np.int64)
+    order = np.lexsort((h, place))
+    p = place[order]
+    first = order[np.concatenate([[True], p[1:] != p[:-1]])] if len(p) else order
+    out.reshape(-1)[place[first]] = 1 + (h[first] >> np.uint64(32)) % np.uint64(255)
+    return out
+
+
+def plausible(mine: np.ndarray, theirs: np.ndarray, n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether signatures (rows of ``theirs`` against one or as many of ``mine``) allow the similarity, with ``MARGIN`` deviations to spare."""
+    used = np.maximum(((mine | theirs) > 0).sum(axis=1), 1)
+    same = ((mine == theirs) & (mine > 0)).sum(axis=1)
+    # the share of equal bins of a sample of the union without replacement
+    union = (n + m) / (1 + similarity)
+    deviation = np.sqrt(similarity * (1 - similarity) / used * np.maximum(1 - used / union, 0) + 0.05 / used**1.5)
+    return (same / used >= similarity - MARGIN * deviation) & (np.minimum(n, m) >= np.maximum(n, m) * (similarity - 1e-9))
+
+
 def banded_lcs(x: list[int], y: list[int], band: int) -> int:
     """Longest common subsequence over alignments that stay within ``band`` of the diagonal.
 
@@ -164,6 +191,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int
             T.StructField("h2", T.LongType()),
             T.StructField("n", T.LongType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("signature", T.BinaryType()),
             T.StructField("shingles", T.BinaryType()),
         ]
     )
@@ -185,7 +213,8 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]), pa.int32())
                 values = pa.array(keys[n > 0].reshape(-1).view(np.int64))
                 columns = [part.column(0), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(n, pa.int64())]
-                columns += [pa.ListArray.from_arrays(offsets, values), pa.array(raw, pa.binary())]
+                columns += [pa.ListArray.from_arrays(offsets, values), pa.array([g.tobytes() for g in signatures(shingles, starts, n)], pa.binary())]
+                columns.append(pa.array(raw, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -216,14 +245,10 @@ def verified(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFram
             ]
             yield batch.select(["node", "pivot"]).filter(pa.array(near, pa.bool_()))
 
-    # sizes first: only pairs that could match move their shingles
-    sizes = prints.select("node", "n")
-    pairs = pairs.select("node", "pivot").join(sizes, "node").withColumnRenamed("n", "n_node")
-    pairs = pairs.join(sizes.select(F.col("node").alias("pivot"), "n"), "pivot")
-    pairs = pairs.where(F.least("n", "n_node") >= F.greatest("n", "n_node") * (similarity - 1e-9)).select("node", "pivot")
     mine = prints.select("node", F.col("shingles").alias("mine"))
     theirs = prints.select(F.col("node").alias("pivot"), F.col("shingles").alias("theirs"))
-    return pairs.join(mine, "node").join(theirs, "pivot").mapInArrow(run, "node long, pivot long")
+    # the same plan at every size: texts are shuffled, whatever the pairs' size
+    return pairs.hint("merge").join(mine, "node").hint("merge").join(theirs, "pivot").mapInArrow(run, "node long, pivot long")
 
 
 class Folder:
@@ -264,14 +289,66 @@ def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return out.where("mine <> theirs").select("node", "pivot")
 
 
-def unresolved(banded: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of nodes of one band that are in different components and of similar size."""
+def possible(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose signatures allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine, theirs = (_matrix(batch[c]) for c in ("signature", "theirs"))
+            ok = plausible(mine, theirs, batch["n"].to_numpy(), batch["m"].to_numpy(), similarity)
+            yield batch.select(["node", "pivot", "n_bands"]).filter(pa.array(ok))
+
+    mine = prints.select("node", "n", "signature")
+    theirs = prints.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("signature").alias("theirs"))
+    joined = pairs.hint("merge").join(mine, "node").hint("merge").join(theirs, "pivot")
+    return joined.mapInArrow(run, "node long, pivot long, n_bands long")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
+
+
+def unresolved(banded: DataFrame, roots: DataFrame, prints: DataFrame, folder: Folder, similarity: float) -> DataFrame:
+    """Pairs of nodes of one band that are in different components and whose signatures allow the similarity.
+
+    A band is dealt over blocks of about ``BLOCK`` nodes, and two blocks meet
+    in one task, which compares signatures and returns the few pairs left.
+    """
     rows = banded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    many = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rows = rows.join(many, "key", "left_semi")
-    other = rows.select("key", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("theirs"))
-    near = F.least("n", "m") >= F.greatest("n", "m") * (similarity - 1e-9)
-    return rows.join(other, "key").where((F.col("root") > F.col("theirs")) & near).select("node", "pivot").distinct()
+    many = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("in_band"))
+    many = folder.cut(many.where("low <> high").select("key", "in_band"))
+    rows = _with_frequent(rows, many, ["key"], "in_band").where("in_band IS NOT NULL")
+    rows = folder.cut(rows.select("key", "node", "root", "in_band"))
+    tasks = max(1, -(-rows.count() // (2 * BLOCK)))
+    rows = rows.withColumn("blocks", F.ceil(F.col("in_band") / BLOCK).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", "node", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)).cast("int"))
+    rows = rows.join(prints.select("node", "n", "signature"), "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        key, low, high, block, n, node, root = (table[c].to_numpy() for c in ("key", "low", "high", "block", "n", "node", "root"))
+        signs = _matrix(table["signature"])
+        order = np.lexsort((node, n, high, low, key))
+        new = np.ones(len(order) + 1, dtype=bool)
+        new[1:-1] = (np.diff(key[order]) != 0) | (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+        at = np.flatnonzero(new)
+        found = [np.empty((2, 0), dtype=np.int64)]
+        for s, e in zip(at, at[1:], strict=False):
+            rows_ = order[s:e]
+            cross = low[rows_[0]] != high[rows_[0]]
+            until = np.searchsorted(n[rows_] * (similarity - 1e-9), n[rows_], side="right")
+            for i, r in enumerate(rows_):
+                others = rows_[i + 1 : until[i]]
+                others = others[(root[others] != root[r]) & (~cross | (block[others] != block[r]))]
+                if len(others):
+                    hit = others[plausible(signs[r][None], signs[others], n[r], n[others], similarity)]
+                    found.append(np.stack([np.full(len(hit), node[r]), node[hit]]))
+        pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+        return pa.table({"node": pairs[1], "pivot": pairs[0]})
+
+    return rows.groupBy("task").applyInArrow(run, "node long, pivot long").distinct()
 
 
 def _with_frequent(rows: DataFrame, table: DataFrame, keys: list[str], size: str, share: int = 1000) -> DataFrame:
@@ -317,7 +394,7 @@ def near_classes(
 
     1. One pass writes fingerprints to the shared checkpoint folder; texts of
        equal words become one node.
-    2. In each band, nodes are paired with a pivot; verified pairs are links.
+    2. In each band, nodes are paired with a pivot; a signature of each text rules most false pairs out before shingles move.  Verified pairs are links.
        First one pivot per node, then the others that would join components.
     3. Nodes that meet in a band and are still in different components are
        verified pair by pair, so no link that would join two is lost.
@@ -337,17 +414,17 @@ def near_classes(
     members = folder.cut(members.select("node", "doc_id", "n", F.coalesce("first", "node").alias("rep")))
 
     nodes = prints.join(members.where("node = rep").select("node"), "node", "left_semi")
-    banded = nodes.select("node", "n", F.explode("bands").alias("key"))
+    banded = nodes.select("node", F.explode("bands").alias("key"))
     # a band of one node pairs with nothing
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("in_band"))
     shared = folder.cut(shared.where("low <> high").select("key", "in_band"))
-    banded = _with_frequent(banded, shared, ["key"], "in_band").where("in_band IS NOT NULL").select("key", "node", "n")
+    banded = _with_frequent(banded, shared, ["key"], "in_band").where("in_band IS NOT NULL").select("key", "node")
     banded = folder.cut(banded)
     # from here on, only the shingles of these nodes move
     meeting = banded.select("node").distinct()
-    prints = folder.cut(prints.select("node", "n", "shingles").join(meeting, "node", "left_semi"))
+    prints = folder.cut(prints.select("node", "n", "signature", "shingles").join(meeting.hint("merge"), "node", "left_semi"))
 
-    pairs = folder.cut(candidates(banded, salts))
+    pairs = folder.cut(possible(candidates(banded, salts), prints, similarity))
     best = pairs.groupBy("node").agg(F.min(F.struct(-F.col("n_bands"), "pivot")).alias("b"))
     best = folder.cut(best.select("node", F.col("b.pivot").alias("pivot")))
     links = folder.cut(verified(best, prints, similarity))
@@ -357,7 +434,7 @@ def near_classes(
     roots = connected(links, folder)
     tried = best.unionAll(rest)
     tried = tried.unionAll(tried.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
-    last = folder.cut(unresolved(banded, roots, similarity).join(tried, ["node", "pivot"], "left_anti"))
+    last = folder.cut(unresolved(banded, roots, prints, folder, similarity).join(tried, ["node", "pivot"], "left_anti"))
     links = links.unionAll(folder.cut(verified(last, prints, similarity)))
     roots = connected(links, folder).withColumnRenamed("node", "rep")
 
