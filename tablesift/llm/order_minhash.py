@@ -296,12 +296,12 @@ def possible(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFram
         for batch in batches:
             mine, theirs = (_matrix(batch[c]) for c in ("signature", "theirs"))
             ok = plausible(mine, theirs, batch["n"].to_numpy(), batch["m"].to_numpy(), similarity)
-            yield batch.select(["node", "pivot", "n_bands"]).filter(pa.array(ok))
+            yield batch.select(["node", "pivot"]).filter(pa.array(ok))
 
     mine = prints.select("node", "n", "signature")
     theirs = prints.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("signature").alias("theirs"))
     joined = pairs.hint("merge").join(mine, "node").hint("merge").join(theirs, "pivot")
-    return joined.mapInArrow(run, "node long, pivot long, n_bands long")
+    return joined.mapInArrow(run, "node long, pivot long")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -309,10 +309,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def unresolved(banded: DataFrame, roots: DataFrame, prints: DataFrame, folder: Folder, similarity: float) -> DataFrame:
-    """Pairs of nodes of one band that are in different components and whose signatures allow the similarity.
+    """Links (node, pivot) between nodes of one band that are in different components.
 
     A band is dealt over blocks of about ``BLOCK`` nodes, and two blocks meet
-    in one task, which compares signatures and returns the few pairs left.
+    in one task.  It compares signatures, verifies what they allow, and skips
+    pairs that links found there already join, so its links are a forest.
     """
     rows = banded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     many = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("in_band"))
@@ -325,16 +326,23 @@ def unresolved(banded: DataFrame, roots: DataFrame, prints: DataFrame, folder: F
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", "node", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)).cast("int"))
-    rows = rows.join(prints.select("node", "n", "signature"), "node")
+    rows = rows.join(prints, "node")
 
     def run(table: pa.Table) -> pa.Table:
         key, low, high, block, n, node, root = (table[c].to_numpy() for c in ("key", "low", "high", "block", "n", "node", "root"))
-        signs = _matrix(table["signature"])
+        signs, shingles = _matrix(table["signature"]), table["shingles"].to_pylist()
+        joined: dict[int, int] = {}
+
+        def top(r: int) -> int:
+            while r in joined:
+                r = joined[r]
+            return r
+
         order = np.lexsort((node, n, high, low, key))
         new = np.ones(len(order) + 1, dtype=bool)
         new[1:-1] = (np.diff(key[order]) != 0) | (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
         at = np.flatnonzero(new)
-        found = [np.empty((2, 0), dtype=np.int64)]
+        links, tried = [], set()
         for s, e in zip(at, at[1:], strict=False):
             rows_ = order[s:e]
             cross = low[rows_[0]] != high[rows_[0]]
@@ -342,11 +350,19 @@ def unresolved(banded: DataFrame, roots: DataFrame, prints: DataFrame, folder: F
             for i, r in enumerate(rows_):
                 others = rows_[i + 1 : until[i]]
                 others = others[(root[others] != root[r]) & (~cross | (block[others] != block[r]))]
-                if len(others):
-                    hit = others[plausible(signs[r][None], signs[others], n[r], n[others], similarity)]
-                    found.append(np.stack([np.full(len(hit), node[r]), node[hit]]))
-        pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
-        return pa.table({"node": pairs[1], "pivot": pairs[0]})
+                if not len(others):
+                    continue
+                for o in others[plausible(signs[r][None], signs[others], n[r], n[others], similarity)]:
+                    mine, theirs = top(int(root[r])), top(int(root[o]))
+                    pair = (int(max(node[r], node[o])), int(min(node[r], node[o])))
+                    if mine == theirs or pair in tried:
+                        continue
+                    tried.add(pair)
+                    if is_near(np.frombuffer(shingles[r], "<u4"), np.frombuffer(shingles[o], "<u4"), similarity):
+                        joined[max(mine, theirs)] = min(mine, theirs)
+                        links.append(pair)
+        found = np.array(links, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"node": found[:, 0], "pivot": found[:, 1]})
 
     return rows.groupBy("task").applyInArrow(run, "node long, pivot long").distinct()
 
@@ -397,7 +413,7 @@ def near_classes(
     2. In each band, nodes are paired with a pivot; a signature of each text rules most false pairs out before shingles move.  Verified pairs are links.
        First one pivot per node, then the others that would join components.
     3. Nodes that meet in a band and are still in different components are
-       verified pair by pair, so no link that would join two is lost.
+       compared pair by pair in blocks, so no link that would join two is lost.
 
     Defined results: a null text is empty; texts without words are one class;
     one of fewer than ``k`` words has one shingle; repeated rows are one class, of which one is kept;
@@ -424,18 +440,15 @@ def near_classes(
     meeting = banded.select("node").distinct()
     prints = folder.cut(prints.select("node", "n", "signature", "shingles").join(meeting.hint("merge"), "node", "left_semi"))
 
-    pairs = folder.cut(possible(candidates(banded, salts), prints, similarity))
+    pairs = folder.cut(candidates(banded, salts))
     best = pairs.groupBy("node").agg(F.min(F.struct(-F.col("n_bands"), "pivot")).alias("b"))
     best = folder.cut(best.select("node", F.col("b.pivot").alias("pivot")))
-    links = folder.cut(verified(best, prints, similarity))
+    links = folder.cut(verified(possible(best, prints, similarity), prints, similarity))
     roots = connected(links, folder)
     rest = folder.cut(across(pairs.join(best, ["node", "pivot"], "left_anti"), roots))
-    links = links.unionAll(folder.cut(verified(rest, prints, similarity)))
+    links = links.unionAll(folder.cut(verified(possible(rest, prints, similarity), prints, similarity)))
     roots = connected(links, folder)
-    tried = best.unionAll(rest)
-    tried = tried.unionAll(tried.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
-    last = folder.cut(unresolved(banded, roots, prints, folder, similarity).join(tried, ["node", "pivot"], "left_anti"))
-    links = links.unionAll(folder.cut(verified(last, prints, similarity)))
+    links = links.unionAll(folder.cut(unresolved(banded, roots, prints, folder, similarity)))
     roots = connected(links, folder).withColumnRenamed("node", "rep")
 
     by_rep = members.groupBy("rep").agg(F.count("*").alias("rep_size")).join(roots, "rep")
