@@ -145,10 +145,13 @@ class AttributeSpace:
         for table, df in tables.items():
             wanted = None if columns is None else set(columns.get(table, ()))
             for f in df.schema.fields:
-                if not is_profilable(f.dataType):
-                    continue
                 if wanted is not None and f.name not in wanted:
                     continue
+                if not is_profilable(f.dataType):
+                    raise ValueError(
+                        f"column {f.name} of {table} is {f.dataType.simpleString()}, which has no text form to compare: "
+                        "cast it, or name the columns to profile"
+                    )
                 key = (f.name,) if options.merge_same_names else (table, f.name)
                 occurrences.setdefault(key, []).append((table, f.name))
         attrs = []

@@ -190,28 +190,35 @@ def nary_inds(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     options: IndOptions = TRIMMED,
-    max_level: int = 2,
+    max_level: int | None = None,
 ) -> DataFrame:
-    """INDs of arity 2..``max_level``: ``dependent_table``,
-    ``dependent_columns``, ``referenced_table``, ``referenced_columns``
-    (columns comma-joined), ``arity``.
+    """INDs of arity 2 and up: ``dependent_table``, ``dependent_columns``,
+    ``referenced_table``, ``referenced_columns`` (columns comma-joined),
+    ``arity``.  The search ends with the first level that has none, or after
+    ``max_level``, if the caller names one.
 
     Each level is planned after the previous level's result is known; that
     result is small (bounded by the number of column tuples) and is
     materialised (checkpointed to the shared folder named by
-    ``spark.checkpoint.dir``, else cached) before the next level joins it
-    with itself, so no level is computed twice.
+    ``spark.checkpoint.dir``, else cached) before it is joined with itself
+    or returned, so no level is computed twice.
     """
-    current = level_one(spark, tables, options)
+    if max_level is not None and max_level < 2:
+        raise ValueError("max_level must be at least 2")
+    current = materialize(level_one(spark, tables, options))
     found = []
-    for k in range(1, max_level):
-        # The level's INDs are joined with themselves: compute them once.
-        current = materialize(current)
+    k = 1
+    while max_level is None or k < max_level:
         cands = next_candidates(current, k)
-        current = test_candidates(spark, tables, options, cands, k + 1)
-        found.append(current.withColumn("arity", F.lit(k + 1)))
+        if cands.isEmpty():
+            break
+        current = materialize(test_candidates(spark, tables, options, cands, k + 1))
+        if current.isEmpty():
+            break
+        k += 1
+        found.append(current.withColumn("arity", F.lit(k)))
     if not found:
-        raise ValueError("max_level must be at least 2")
+        found = [current.limit(0).withColumn("arity", F.lit(2))]
     out = reduce(DataFrame.unionByName, found)
     return out.select(
         F.col("dt").alias("dependent_table"),

@@ -1,20 +1,22 @@
 """A folder of CSV files as a set of tables.
 
-Files are listed through Spark's own file index (the ``binaryFile`` source
-with only ``path`` selected, so no file content is read), which works the
-same on local disks, HDFS or object stores.  Only plain files directly in the
-folder count; sub-folders are ignored.  Each file gets its own reader, since
-headers differ from file to file.
+Files are listed through the Hadoop file system of the folder's path, so local
+disks, HDFS and object stores are alike.  Every plain file directly in the
+folder counts, also one whose name begins with ``_`` or ``.``; sub-folders are
+ignored.  Each file gets its own reader, since headers differ from file to
+file.
 """
 
 from __future__ import annotations
 
 import os
 import posixpath
+import re
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tablesift.session import checkpoint_dir
 from tablesift.sources.csv import TRIMMED_CSV, CsvOptions, read_csv
 
 
@@ -22,28 +24,38 @@ class InputFolderError(ValueError):
     """The input folder is missing or holds no file."""
 
 
-def _normal(p: str) -> str:
-    """Comparable form of a folder path: local paths (plain or ``file:``)
-    become absolute paths, other URIs are kept as they are."""
-    p = p.rstrip("/")
-    if p.startswith("file:"):
-        p = p[len("file:") :]
-        while p.startswith("//"):
-            p = p[1:]
-    if "://" in p:
-        return p
-    return os.path.abspath(p)
+def _file_system(spark: SparkSession, path: str):
+    """The path as Hadoop has it, its file system and the configuration."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(conf), conf
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the plain files directly in ``path``, sorted."""
-    try:
-        listing = spark.read.format("binaryFile").load(path).select("path")
-        paths = [r["path"] for r in listing.collect()]
-    except AnalysisException:
+    """Paths of the plain files directly in ``path``, sorted; none if the folder is missing."""
+    # a local path is one even if the default file system is another
+    if "://" not in path and not path.startswith("file:") and os.path.isdir(path):
+        path = "file:" + os.path.abspath(path)
+    where, fs, _ = _file_system(spark, path)
+    if not fs.exists(where):
         return []
-    base = _normal(path)
-    return sorted(p for p in paths if _normal(posixpath.dirname(p)) == base)
+    return sorted(s.getPath().toString() for s in fs.listStatus(where) if s.isFile())
+
+
+def readable(spark: SparkSession, file: str) -> str:
+    """A path that Spark's readers take for this one file.
+
+    They read a path as a glob, so its special characters are escaped, and
+    skip names that begin with ``_`` or ``.``, so such a file is copied to the
+    shared checkpoint folder under a name of its own.
+    """
+    if posixpath.basename(file).startswith(("_", ".")):
+        source, fs, conf = _file_system(spark, file)
+        copy = f"{checkpoint_dir(spark)}/shown-{uuid.uuid4().hex}/file-{posixpath.basename(file)}"
+        target, target_fs, _ = _file_system(spark, copy)
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, target_fs, target, False, conf)
+        file = copy
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
 
 
 def load_folder(
@@ -62,4 +74,4 @@ def load_folder(
         if missing_ok:
             return {}
         raise InputFolderError(f"input folder {path} does not exist or is empty")
-    return {posixpath.basename(f): read_csv(spark, f, options) for f in files}
+    return {posixpath.basename(f): read_csv(spark, readable(spark, f), options) for f in files}

@@ -3,31 +3,20 @@
 from __future__ import annotations
 
 import os
-import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-OTHER_TABLES = ("events", "documents", "labels", "conversations", "pages", "benchmark")
-ALL_TABLES = STAR_TABLES + OTHER_TABLES + ("embeddings",)
+OTHER_TABLES = ("events", "documents", "labels", "conversations", "pages", "benchmark", "embeddings")
+ALL_TABLES = STAR_TABLES + OTHER_TABLES
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# DataFrame handles per session and path.  Reading parquet infers the schema
-# with a small Spark job; the test tables are immutable inputs, so one handle
-# per table and session is enough (every action still scans the files).
-_HANDLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = table_path(sf_dir, name)
-    handles = _HANDLES.setdefault(spark, {})
-    if path not in handles:
-        handles[path] = spark.read.parquet(path)
-    return handles[path]
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=STAR_TABLES) -> dict[str, DataFrame]:

@@ -113,7 +113,6 @@ def test_csv_round_trip_equals_parquet(spark, tmp_dir):
 
 
 def test_folder_listing_sibling_and_path_forms(spark, tmp_dir):
-    from tablesift.sources.folder import _normal
 
     write(os.path.join(tmp_dir, "a"), "x.csv", "k\n1\n")
     write(os.path.join(tmp_dir, "ba"), "y.csv", "k\n2\n")
@@ -121,8 +120,6 @@ def test_folder_listing_sibling_and_path_forms(spark, tmp_dir):
     assert [os.path.basename(f) for f in list_files(spark, folder)] == ["x.csv"]
     assert [os.path.basename(f) for f in list_files(spark, folder + "/")] == ["x.csv"]
     assert [os.path.basename(f) for f in list_files(spark, "file:" + folder)] == ["x.csv"]
-    assert _normal("file:///data/x/") == _normal("/data/x") == _normal("file:/data/x")
-    assert _normal("hdfs://nn/data/x/") == "hdfs://nn/data/x"
 
 
 def test_quoted_header_comma_file(spark, tmp_dir):
@@ -138,3 +135,15 @@ def test_quoted_header_comma_file(spark, tmp_dir):
     write(tmp_dir, "more.csv", '"Id"\n3\n5')
     lines = {r.line for r in discover_folder(spark, tmp_dir, "trimmed", csv=opts).collect()}
     assert lines == {"Id < Name"}
+
+
+def test_every_plain_file_of_a_folder_counts(spark, tmp_dir):
+    for name in ("a.csv", "_b.csv", ".c.csv", "q[1].csv"):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(f"x\n{name}\n")
+    for sub in ("p=1", os.path.join("p=x", "q=2")):
+        os.makedirs(os.path.join(tmp_dir, sub))
+        with open(os.path.join(tmp_dir, sub, "d.csv"), "w") as f:
+            f.write("x\n1\n")
+    tables = load_folder(spark, tmp_dir)
+    assert {n: [r.x for r in t.collect()] for n, t in tables.items()} == {n: [n] for n in ("a.csv", "_b.csv", ".c.csv", "q[1].csv")}

@@ -279,3 +279,10 @@ try:
 
 except ImportError:  # hypothesis is optional
     pass
+
+
+def test_columns_without_text_form_are_not_skipped_silently(spark):
+    tables = {"t": spark.createDataFrame([(1, [1])], "a int, b array<int>")}
+    with pytest.raises(ValueError, match="b of t"):
+        A.AttributeSpace.build(spark, tables, A.STRICT)
+    assert len(A.AttributeSpace.build(spark, tables, A.STRICT, {"t": ["a"]}).attributes) == 1

@@ -138,3 +138,13 @@ def test_strict_levels_equal_plain_containment(spark, seed):
                         expected.add((dt, ", ".join(dcols), rt, ", ".join(rcols), 2))
     got = {tuple(r) for r in nary_inds(spark, frames(spark, tables), A.STRICT, max_level=2).collect()}
     assert got == expected
+
+
+def test_search_goes_on_until_a_level_is_empty(spark):
+    rows = [(i, i * 10, i * 100, "x") for i in range(1, 5)]
+    tables = {
+        "d": spark.createDataFrame([r[:3] for r in rows[:3]], "a int, b int, c int"),
+        "r": spark.createDataFrame(rows, "a2 int, b2 int, c2 int, z string"),
+    }
+    got = {(r.dependent_columns, r.referenced_columns, r.arity) for r in nary_inds(spark, tables, A.TRIMMED).collect()}
+    assert ("a, b, c", "a2, b2, c2", 3) in got and {g[2] for g in got} == {2, 3}
