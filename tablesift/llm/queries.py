@@ -68,7 +68,7 @@ def op6_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = scrubbed_counts(documents(spark, sf_dir))
-    return counts.drop("text_after").withColumn("text_after_sha256", F.sha2(counts["text_after"], 256))
+    return counts.withColumn("text_after_sha256", F.sha2("text_after", 256)).drop("text_after")
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
