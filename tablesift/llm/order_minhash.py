@@ -391,6 +391,17 @@ def _with_frequent(rows: DataFrame, table: DataFrame, keys: list[str], size: str
     return out.select(*[rows[c] for c in rows.columns], *[F.coalesce(f"hot_{c}", c).alias(c) for c in got])
 
 
+def _of_keys(rows: DataFrame, table: DataFrame, key: str, size: str, share: int = 1000) -> DataFrame:
+    """The rows whose key is in ``table`` (one row per key, ``size`` rows each).
+
+    Keys with more than 1/``share`` of all rows are fewer than ``share``: they
+    are named in a filter, so their rows stay where they are.
+    """
+    frequent = F.col(size) * share > rows.count()
+    hot = F.col(key).isin([r[0] for r in table.where(frequent).select(key).collect()])
+    return rows.where(hot).unionAll(rows.where(~hot).join(table.where(~frequent).select(key), key, "left_semi").select(*rows.columns))
+
+
 def near_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -434,8 +445,7 @@ def near_classes(
     # a band of one node pairs with nothing
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("in_band"))
     shared = folder.cut(shared.where("low <> high").select("key", "in_band"))
-    banded = _with_frequent(banded, shared, ["key"], "in_band").where("in_band IS NOT NULL").select("key", "node")
-    banded = folder.cut(banded)
+    banded = folder.cut(_of_keys(banded, shared, "key", "in_band"))
     # from here on, only the shingles of these nodes move
     meeting = banded.select("node").distinct()
     prints = folder.cut(prints.select("node", "n", "signature", "shingles").join(meeting.hint("merge"), "node", "left_semi"))
