@@ -218,4 +218,6 @@ def mixed(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str,
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     whole = whole.select("__row", F.col("__row").getField(id_col).alias("__doc"), F.col("__row").getField(text_col).alias("__text"))
     rows = posteriors(whole, model, "__doc", "__text", ["__row"])
-    return rows.select(F.explode(F.array_repeat("__row", drawn(F.col("__id"), rate))).alias("__row")).select("__row.*")
+    # Spark infers a filter from explode; on a deterministic column it would be moved down with the posteriors written out in it
+    rows = rows.select("__row", (drawn(F.col("__id"), rate) + F.least(F.spark_partition_id(), F.lit(0))).alias("__copies"))
+    return rows.select(F.explode(F.array_repeat("__row", F.col("__copies"))).alias("__row")).select("__row.*")
