@@ -110,6 +110,30 @@ def test_rates_meet_the_targets(spark, docs):
     assert mixed(empty, labels, F.col("label"), {"short": 1.0}).count() == 0
 
 
+def test_clean_documents_keep_their_rate_in_each_language_and_length(spark):
+    """Labels of one half; of the other half, clean documents of a rare language or few words aren't dropped."""
+    rng = random.Random(5)
+    words = {x: ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(300)] for x, letters in (("en", "abcdefgh"), ("fr", "ijklmnop"))}
+    rows, labels = [], []
+    for i in range(1200):
+        lang = "fr" if i % 8 == 0 else "en"
+        text = rng.choices(words[lang], [1 / (r + 1) for r in range(300)], k=rng.choice([8, 60, 400]))
+        kind = rng.choices(["good", "poor", "toxic"], [76, 13, 11])[0]
+        if kind == "poor":
+            text = [w + "$$$" for w in text] if i % 3 else ["as"] * 100
+        if kind == "toxic":
+            text[rng.randrange(len(text))] = rng.choice(["scumbag", "moronic", "trashy"])
+        rows.append((i, " ".join(text), lang, len(text), kind))
+        if i % 16 < 8:
+            labels.append((i, kind))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, words int, kind string")
+    labels = spark.createDataFrame(labels, "doc_id long, label string")
+    got, domains = mix(table, labels, F.col("label"), {"good": 0.97, "poor": 0.02, "toxic": 0.01}, keep=["lang", "words", "kind"])
+    held = got.where("__id % 16 >= 8 and kind = 'good'").select("lang", "words", "__rate", F.col("__posterior")[domains.index("good")].alias("p")).toPandas()
+    for _, part in [*held.groupby("lang"), *held.groupby("words")]:
+        assert part.p.mean() > 0.95 and 0.9 < part["__rate"].mean() < 1.1 and (part["__rate"] < 0.5).mean() < 0.02
+
+
 def test_scores_equal_brute_force_base_and_compress_held_out_texts(docs):
     got = score(docs, F.col("doc_id") % 3 != 0)
     lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
