@@ -69,6 +69,15 @@ def labelled_shingles(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray,
     return shingles, n_words, starts, n
 
 
+def _smallest(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Place of the smallest value of each text, by the bits above ``POS_MASK``; of equal ones the first."""
+    high = h & ~POS_MASK
+    if len(h) <= 1 << int(POS_BITS):
+        return (np.minimum.reduceat(high | np.arange(len(h), dtype=np.uint64), first) & POS_MASK).astype(np.int64)
+    # places that don't fit into the bits
+    return np.array([a + high[a:b].argmin() for a, b in zip(first, [*first[1:], len(h)], strict=True)], dtype=np.int64)
+
+
 def sketches(shingles: np.ndarray, starts: np.ndarray, n: np.ndarray, bands: int, per_band: int) -> np.ndarray:
     """Band keys of each text with a shingle (texts by bands).
 
@@ -81,7 +90,6 @@ def sketches(shingles: np.ndarray, starts: np.ndarray, n: np.ndarray, bands: int
     if not len(some):
         return out
     first = starts[some]
-    local = np.arange(len(shingles), dtype=np.uint64)
     lone = n[some] == 1
     for b in range(bands):
         key = np.full(len(some), b + 1, dtype=np.uint64)
@@ -91,12 +99,9 @@ def sketches(shingles: np.ndarray, starts: np.ndarray, n: np.ndarray, bands: int
             h = shingles * (salt | np.uint64(1))
             h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
-            h = (h & ~POS_MASK) | local
-            one = np.minimum.reduceat(h, first)
-            at = (one & POS_MASK).astype(np.int64)
+            at = _smallest(h, first)
             h[at] = np.uint64(0xFFFFFFFFFFFFFFFF)
-            two = np.minimum.reduceat(h, first)
-            at2 = np.where(lone, at, (two & POS_MASK).astype(np.int64))
+            at2 = np.where(lone, at, _smallest(h, first))
             early, late = shingles[np.minimum(at, at2)], shingles[np.maximum(at, at2)]
             key = mix(key + early * np.uint64(0x9E3779B97F4A7C15) + mix(late))
         out[some, b] = key

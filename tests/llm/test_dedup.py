@@ -93,6 +93,20 @@ def test_near_classes_of_empty_table_null_and_repeated_ids(spark):
     assert om.keep_first_of_class(spark.createDataFrame(rows, schema)).count() == 2
 
 
+def test_bands_of_texts_of_more_than_a_million_words():
+    """A word put in changes no band key but those that sample it, wherever the places lie."""
+    rng = np.random.default_rng(7)
+    shingles = rng.integers(1, 1 << 63, 3 << 20, dtype=np.uint64)
+    later = np.insert(shingles, (1 << 20) + 5, np.uint64(5))
+    one, two = (om.sketches(x, np.array([0]), np.array([len(x)]), 4, 2) for x in (shingles, later))
+    assert (one == two).all()
+    # a text on its own and among others, on both sides of the limit
+    short = shingles[: 1 << 10]
+    alone = om.sketches(short, np.array([0]), np.array([len(short)]), 4, 2)
+    both = om.sketches(np.concatenate([shingles, short]), np.array([0, len(shingles)]), np.array([len(shingles), len(short)]), 4, 2)
+    assert (both[0] == one).all() and (both[1] == alone).all()
+
+
 def test_banded_alignment_equals_the_whole_table():
     rng = random.Random(1)
     for _ in range(200):
