@@ -313,25 +313,49 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
 
 
-def unresolved(banded: DataFrame, roots: DataFrame, prints: DataFrame, folder: Folder, similarity: float) -> DataFrame:
-    """Links (node, pivot) between nodes of one band that are in different components.
+def dealt(banded: DataFrame, roots: DataFrame, folder: Folder) -> DataFrame:
+    """Rows key, node, root, block, low, high, and part: nodes of one band and of different roots, for the tasks that compare them.
 
     A band is dealt over blocks of about ``BLOCK`` nodes, and two blocks meet
-    in one task.  It compares signatures, verifies what they allow, and skips
-    pairs that links found there already join, so its links are a forest.
+    in one task.  A root with more than ``BLOCK`` nodes in a band has blocks
+    of its own there, which do not meet each other, as links join their nodes
+    already.  Two blocks of a band of several are a task (``part`` is the
+    band); bands of one block share tasks of about as many rows.
     """
     rows = banded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    large = folder.cut(roots.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("root"))
+    big = rows.join(large, "root", "left_semi").groupBy("key", "root").agg(F.count("*").alias("n_root"))
+    big = big.where(F.col("n_root") > BLOCK).withColumn("own", F.ceil(F.col("n_root") / BLOCK).cast("int"))
+    before = F.sum("own").over(Window.partitionBy("key").orderBy("root").rowsBetween(Window.unboundedPreceding, -1))
+    big = folder.cut(big.withColumn("before", F.coalesce(before, F.lit(0)).cast("int")))
+    of_band = big.groupBy("key").agg(F.sum("n_root").alias("in_big"), F.sum("own").cast("int").alias("big_blocks"))
     many = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("in_band"))
-    many = folder.cut(many.where("low <> high").select("key", "in_band"))
-    rows = _with_frequent(rows, many, ["key"], "in_band").where("in_band IS NOT NULL")
-    rows = folder.cut(rows.select("key", "node", "root", "in_band"))
-    tasks = max(1, -(-rows.count() // (2 * BLOCK)))
-    rows = rows.withColumn("blocks", F.ceil(F.col("in_band") / BLOCK).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", "node", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)).cast("int"))
-    rows = rows.join(prints, "node")
+    many = many.where("low <> high").select("key", "in_band").join(of_band, "key", "left").na.fill(0, ["in_big", "big_blocks"])
+    many = many.withColumn("shared", F.ceil((F.col("in_band") - F.col("in_big")) / BLOCK).cast("int"))
+    many = folder.cut(many.withColumn("blocks", (F.col("shared") + F.col("big_blocks")).cast("int")).select("key", "in_band", "shared", "blocks"))
+    rows = _with_frequent(rows, many, ["key"], "in_band").where("in_band IS NOT NULL").select("key", "node", "root", "shared", "blocks")
+    rows = _with_frequent(folder.cut(rows), big, ["key", "root"], "n_root")
+    # the blocks of the own root, which a node doesn't meet
+    rows = rows.withColumn("first", F.col("shared") + F.col("before")).withColumn("place", F.xxhash64("node"))
+    rows = rows.withColumn("own", F.coalesce("own", F.lit(0)))
+    rows = folder.cut(rows.select("key", "node", "root", "shared", "blocks", "first", "own", "place"))
+    at = F.when(F.col("own") > 0, F.col("first") + F.pmod("place", F.greatest("own", F.lit(1))))
+    rows = rows.withColumn("block", at.otherwise(F.pmod("place", F.greatest("shared", F.lit(1)))).cast("int"))
+    n_small = rows.where("blocks = 1").count()
+    tasks = max(1, -(-n_small // (2 * BLOCK)))
+    met = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (F.col("own") == 0) | (x < F.col("first")) | (x >= F.col("first") + F.col("own")))
+    rows = rows.withColumn("other", F.explode(met))
+    part = F.when(F.col("blocks") > 1, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(tasks)))
+    return rows.select("key", "node", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), part.alias("part"))
+
+
+def unresolved(banded: DataFrame, roots: DataFrame, prints: DataFrame, folder: Folder, similarity: float) -> DataFrame:
+    """Links (node, pivot) between nodes of one band that are in different components.
+
+    A task (see ``dealt``) compares signatures, verifies what they allow, and
+    skips pairs that links found there already join, so its links are a forest.
+    """
+    rows = dealt(banded, roots, folder).join(prints, "node")
 
     def run(table: pa.Table) -> pa.Table:
         key, low, high, block, n, node, root = (table[c].to_numpy() for c in ("key", "low", "high", "block", "n", "node", "root"))
@@ -369,7 +393,7 @@ def unresolved(banded: DataFrame, roots: DataFrame, prints: DataFrame, folder: F
         found = np.array(links, dtype=np.int64).reshape(-1, 2)
         return pa.table({"node": found[:, 0], "pivot": found[:, 1]})
 
-    return rows.groupBy("task").applyInArrow(run, "node long, pivot long").distinct()
+    return rows.groupBy("part", "low", "high").applyInArrow(run, "node long, pivot long").distinct()
 
 
 def _with_frequent(rows: DataFrame, table: DataFrame, keys: list[str], size: str, share: int = 1000) -> DataFrame:

@@ -107,6 +107,68 @@ def test_bands_of_texts_of_more_than_a_million_words():
     assert (both[0] == one).all() and (both[1] == alone).all()
 
 
+def hot_bands() -> tuple[list, list]:
+    """(key, node) and (node, root): a band of strangers, a joined one with a stranger, one of two large roots and some strangers, small ones."""
+    banded = [(1, n) for n in range(300)] + [(2, n) for n in range(1000, 1501)] + [(3, n) for n in range(2000, 2130)]
+    banded += [(k, n) for k in range(4, 60) for n in (3000 + 2 * k, 3001 + 2 * k)]
+    roots = [(n, 1000) for n in range(1000, 1500)] + [(n, 2000 + n % 2) for n in range(2000, 2120)]
+    return banded, roots
+
+
+def test_hot_bands_are_dealt_to_tasks_of_a_fixed_size(spark, monkeypatch):
+    monkeypatch.setattr(om, "BLOCK", 8)
+    banded, roots = hot_bands()
+    frames = spark.createDataFrame(banded, "key long, node long"), spark.createDataFrame(roots, "node long, root long")
+    rows = om.dealt(*frames, om.Folder(spark)).toPandas()
+    assert rows.groupby(["part", "low", "high"]).size().max() <= 6 * 8
+    # each node of the joined band meets the stranger, not its like
+    assert len(rows[rows.key == 2]) <= 2 * 501
+    top, meet = dict(roots), set()
+    for (_, low, high), g in rows.groupby(["key", "low", "high"]):
+        for a in g.itertuples():
+            for b in g.itertuples():
+                if a.node < b.node and a.root != b.root and (low == high or a.block != b.block):
+                    meet.add((a.key, a.node, b.node))
+    by_key: dict[int, list[int]] = {}
+    for k, n in banded:
+        by_key.setdefault(k, []).append(n)
+    assert meet == {(k, a, b) for k, ns in by_key.items() for a in ns for b in ns if a < b and top.get(a, a) != top.get(b, b)}
+
+
+def test_links_in_hot_bands_equal_brute_force(spark, monkeypatch):
+    """Nodes of equal text in one band are joined, whatever the blocks."""
+    monkeypatch.setattr(om, "BLOCK", 8)
+    banded, roots = hot_bands()
+    group = {n: n % 7 for _, n in banded}
+    rng = np.random.default_rng(3)
+    texts = rng.integers(1, 1 << 63, (7, 40), dtype=np.uint64)
+    signs = om.signatures(texts.reshape(-1), np.arange(7) * 40, np.full(7, 40))
+    prints = [(n, 40, bytearray(signs[g].tobytes()), bytearray((texts[g] >> np.uint64(32)).astype("<u4").tobytes())) for n, g in group.items()]
+    frames = [spark.createDataFrame(banded, "key long, node long"), spark.createDataFrame(roots, "node long, root long")]
+    frames.append(spark.createDataFrame(prints, "node long, n long, signature binary, shingles binary"))
+    links = om.unresolved(*frames, om.Folder(spark), 0.8).collect()
+    parent = {n: n for n in group}
+
+    def find(n: int) -> int:
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    def components(pairs) -> set:
+        parent.update({n: n for n in group})
+        for a, b in pairs:
+            parent[find(a)] = find(b)
+        out: dict[int, set] = {}
+        for n in group:
+            out.setdefault(find(n), set()).add(n)
+        return {frozenset(x) for x in out.values()}
+
+    seen: dict[tuple, int] = {}
+    known = [(n, r) for n, r in roots]
+    want = components(known + [(seen.setdefault((k, group[n]), n), n) for k, n in banded])
+    assert components(known + [(r["node"], r["pivot"]) for r in links]) == want
+
+
 def test_banded_alignment_equals_the_whole_table():
     rng = random.Random(1)
     for _ in range(200):
