@@ -1,18 +1,17 @@
-"""Substring deduplication by relative Lempel-Ziv parsing.
+"""Substring deduplication by lookup of word windows.
 
-The reference is cut into blocks of ``window`` words, one at every place of
+The texts are cut into blocks of ``window`` words, one at every place of
 every document.  The index has each block once, with the smallest document it
-starts in; it is spread over the buckets of a hash space.  A document is
-parsed greedily against the index: a factor begins at a word where some
-indexed block of a smaller document matches and grows, block by block, as
-long as the next one does too; where none matches, the word is a literal.
-Factors of at least ``window`` words become duplicate spans.  The 64-bit
-block hash finds the match; a second, independent 32-bit hash checks it, so
-factor boundaries are never moved by a clash of hashes.
+starts in; it is spread over the buckets of a hash space.  Every block of a
+document is looked up, and the answer is one bit: some smaller document has
+it.  Words in a matching block become duplicate spans, the others are kept.
+This is no Lempel-Ziv parse: there is no reference place, and blocks of one
+span may be from different documents.  The 64-bit block hash finds the match;
+a second, independent 32-bit hash checks it.
 
 Only blocks that may match are looked up: a block's anchor (see ``anchors``)
 is sent first, 40 bits for each distinct one of a batch, and blocks whose
-anchor no other place has are literals at once.
+anchor no other place has match nothing at once.
 
 Defined results: a null text has no words; repeated rows are judged by their
 ids, so rows that share an id are no duplicates of each other; null ids come
@@ -114,7 +113,7 @@ def _answer_blocks(table: pa.Table) -> pa.Table:
 
 
 def _factors(batch: _Batch, answers: pa.Table, n_buckets: int) -> np.ndarray:
-    """Whether each word lies in a factor."""
+    """Whether each word lies in a matching block."""
     bucket = ((batch.distinct >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
     counts = np.bincount(bucket, minlength=n_buckets)
@@ -125,7 +124,7 @@ def _factors(batch: _Batch, answers: pa.Table, n_buckets: int) -> np.ndarray:
     if bits:
         elsewhere[by] = np.concatenate(bits).astype(bool)
     matched = elsewhere[batch.entry] | (batch.rank[batch.row] > batch.first_rank[batch.entry])
-    # factors: runs of matching blocks, each reaching window - 1 words on
+    # each matching block reaches window - 1 words on
     step = np.zeros(len(batch.words) + 1, dtype=np.int64)
     at = batch.place[matched]
     np.add.at(step, at, 1)
@@ -142,7 +141,7 @@ def duplicate_spans(
     batch_bytes: int = 4 * X.MB,
     bucket_bytes: int = 8 * X.MB,
 ) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, ``spans`` (array of first word and words of each factor),
+    """One row per input row: doc_id, n_words, n_removed, ``spans`` (array of first word and words of each run),
     ``kept_text`` (the other words, joined by one space) and its SHA-256."""
     n_batches, n_buckets = X.sizes(docs, text_col, batch_bytes, bucket_bytes)
     rows = X.batched(docs, id_col, text_col, n_batches)
