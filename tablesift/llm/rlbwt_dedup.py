@@ -1,4 +1,4 @@
-"""Substring deduplication over bytes with a run-length suffix index.
+"""Substring deduplication over bytes by grouping strings of one length.
 
 A byte goes when it lies in a string of ``length`` bytes that also starts
 earlier (in a document with a smaller id, or earlier in its own).  The corpus
@@ -10,14 +10,14 @@ match.  In a block:
 * the suffixes at all string starts are put in order by prefix doubling over
   their first ``length`` bytes (8, 16, 32, 64, then all), which is as deep as
   a match has to be looked at;
-* the bytes before them, in that order, are the block's Burrows-Wheeler
-  transform; it is compressed to its runs (same byte before, same string),
-  each with the place of its end that comes first in the corpus;
-* the strings are then streamed against the index: a string's matching
-  statistic reaches ``length`` at an earlier place exactly if one of the runs
-  of its string has an earlier sample.
-
-In repetitive text there are far fewer runs than strings.  A suffix array of
+* strings of equal rank are grouped, parted by the byte before them as the
+  runs of a Burrows-Wheeler transform are, and each group keeps its place
+  that comes first in the corpus;
+* a string has a match at an earlier place exactly if one of the groups of
+  its rank has an earlier one.  The byte before never changes that; there is
+  no backward search.
+
+A suffix array of
 the whole corpus is never built; anchors that no other place shares are not
 indexed at all, and a batch of documents sends each distinct context once.
 
