@@ -191,8 +191,8 @@ def fit_rates(
 ) -> tuple[Column, list[float], list[float]]:
     """Column of the rates, the targets in tokens and the totals met.
 
-    ``targets`` are shares.  ``total_tokens`` None: the largest total for
-    which no domain has to be repeated as a whole.
+    ``targets`` are shares.  ``total_tokens`` None: the total for which
+    the domain of the largest target keeps its tokens; scarcer ones are repeated.
     """
     k = len(targets)
     p = [F.element_at("__posterior", i + 1) for i in range(k)]
@@ -212,7 +212,7 @@ def fit_rates(
         return rate, have, have
     weight = [w / sum(weight) for w in weight]
     if total_tokens is None:
-        total_tokens = min(h / w for h, w in zip(have, weight, strict=True) if w)
+        total_tokens = max((w, h / w) for h, w in zip(have, weight, strict=True) if w)[1]
     goal = [w * total_tokens for w in weight]
     for _ in range(steps):
         error = [h - g for h, g in zip(have, goal, strict=True)]
