@@ -16,6 +16,7 @@ from tablesift.llm.lz_dedup import duplicate_spans
 from tablesift.llm.mixing import drawn, mix
 from tablesift.llm.order_minhash import near_classes
 from tablesift.llm.packing import pack_documents
+from tablesift.llm.periodic_runs import periodic_runs
 from tablesift.llm.rlbwt_dedup import duplicate_bytes
 
 
@@ -87,6 +88,36 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth text (by the checksum of its id) is periodic from one of its words on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", h)
+    # words are made for the texts to change only
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    rows = rows.withColumn("a", F.when(n > 0, g % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    planted = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", place(i))), " ")
+    return rows.select("doc_id", F.when(F.col("p").isNull(), F.col("text")).otherwise(planted).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(documents(spark, sf_dir)))
+    key = lambda r: F.struct((-r["length"]).alias("short"), r["start"].alias("start"), r["period"].alias("period"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    best = F.array_min(F.transform("runs", key))
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    found = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), lines.alias("lines"), "collapsed")
+    return found.select(
+        "doc_id", "n_words", "n_runs",
+        F.col("b.start").alias("start"), (-F.col("b.short")).alias("length"), F.col("b.period").alias("period"),
+        F.floor(-1000 * F.col("b.short") / F.col("b.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -99,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_order_minhash": op9_order_minhash,
         "op10_quality_rules": op10_quality_rules,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 
