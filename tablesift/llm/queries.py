@@ -18,6 +18,7 @@ from tablesift.llm.order_minhash import near_classes
 from tablesift.llm.packing import pack_documents
 from tablesift.llm.periodic_runs import periodic_runs
 from tablesift.llm.rlbwt_dedup import duplicate_bytes
+from tablesift.llm.spelling import letter_runs, variants
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +119,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_misspellings(runs: DataFrame) -> DataFrame:
+    """``word`` of each row, without one of its code points in about one of 97 of the pairs of id and word."""
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "word").cast("binary"))
+    rows = runs.select("word", h.alias("h"))
+    at = (F.col("h") % F.char_length("word")).cast("int")
+    cut = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.char_length("word")))
+    return rows.select(F.when(F.col("h") % 97 == 0, cut).otherwise(F.col("word")).alias("word"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(with_planted_misspellings(letter_runs(documents(spark, sf_dir))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -131,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_order_minhash": op9_order_minhash,
         "op10_quality_rules": op10_quality_rules,
         "op11_periodic_runs": op11_periodic_runs,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 

@@ -22,18 +22,16 @@ block holds the words of many keys of one piece.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesift.llm.order_minhash import Folder
 
 PIECES = 4
-# rows of the index in a block, and query words worked on together
-BLOCK_WORDS = 8192
+# rows of a block on average, and query words worked on together
+BLOCK_ROWS = 32768
 QUERY_ROWS = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,52 +63,53 @@ def keyed(vocabulary: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Bitsets over ``n`` words: has(i, x) of those with letter x at place i."""
+    """Bitsets over words of ``size`` or ``size`` + 1 letters: those with letter x at place i."""
 
-    def __init__(self, codes: np.ndarray, lengths: np.ndarray):
-        self.letters, at = np.unique(codes, return_inverse=True)
-        at = at.reshape(codes.shape)
-        self.n, self.width = codes.shape
+    def __init__(self, words: list[str], size: int):
+        self.size, self.n = size, len(words)
         self.words = -(-self.n // 64)
-        # one row of bits per (place, letter); letter 0 stands for the end of a word
-        self.bits = np.zeros((self.width + 2, len(self.letters), self.words), dtype=np.uint64)
-        row, bit = np.arange(self.n) // 64, np.uint64(1) << (np.arange(self.n) % 64).astype(np.uint64)
-        for i in range(self.width):
-            np.bitwise_or.at(self.bits[i], (at[:, i], row), bit)
-        self.lengths = {}
-        for size in np.unique(lengths):
-            self.lengths[int(size)] = self.pack(lengths == size)
-
-    def pack(self, flags: np.ndarray) -> np.ndarray:
+        lengths = np.array([len(w) for w in words])
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        row = np.repeat(np.arange(self.n), lengths)
+        place = np.arange(len(letters)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.keys, at = np.unique((place << 21) | letters, return_inverse=True)
+        # the last row is of letters that no word has at the place
+        self.bits = np.zeros((len(self.keys) + 1, self.words), dtype=np.uint64)
+        np.bitwise_or.at(self.bits, (at, row // 64), np.uint64(1) << (row % 64).astype(np.uint64))
+        self.long, self.whole = self._pack(lengths == size + 1), self._pack(lengths == size)
+        self.short = np.flatnonzero(lengths == size)
+        self.letters = letters[np.repeat(lengths == size, lengths)].reshape(-1, size)
+
+    def _pack(self, flags: np.ndarray) -> np.ndarray:
         out = np.zeros(self.words * 64, dtype=np.uint8)
         out[: self.n] = flags
-        return np.packbits(out, bitorder="little").view("<u8").astype(np.uint64)
+        return np.packbits(out, bitorder="little").view("<u8")
+
+    def having(self, place: int, letters: np.ndarray) -> np.ndarray:
+        key = (place << 21) | letters
+        at = np.searchsorted(self.keys, key)
+        return self.bits[np.where(self.keys[np.minimum(at, len(self.keys) - 1)] == key, at, len(self.keys))]
 
-    def near(self, queries: np.ndarray, size: int, lo: int, hi: int, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def near(self, letters: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
         """Bitsets (one row per query of ``size`` letters) of the words with one replaced and with one added letter.
 
-        The error is at one of the places lo to hi - 1, or for an added letter at the end if hi = size; only words
-        in ``allowed`` count.
+        The error is at one of the places lo to hi - 1, or for an added letter at the end if hi = size.
         """
-        letter = np.searchsorted(self.letters, queries)
-        none = np.zeros(self.words, dtype=np.uint64)
-        same = np.broadcast_to(allowed, (len(queries), self.words))
-        changed = added = np.zeros((len(queries), self.words), dtype=np.uint64)
-        for i in range(size):
-            here, after = self.bits[i][letter[:, i]], self.bits[i + 1][letter[:, i]]
-            inside = lo <= i < hi
-            wrong = same & ~here if inside else None
+        same = np.broadcast_to(self.whole | self.long, (len(letters), self.words))
+        changed = added = np.zeros((len(letters), self.words), dtype=np.uint64)
+        for i in range(self.size):
+            here, after = self.having(i, letters[:, i]), self.having(i + 1, letters[:, i])
             changed = changed & here
-            added = (added | wrong if inside else added) & after
-            if inside:
-                changed = changed | wrong
-            same = same & here
-        if hi == size:
+            if lo <= i < hi:
+                wrong = same & ~here
+                changed, added = changed | wrong, added | wrong
+            added, same = added & after, same & here
+        if hi == self.size:
             added = added | same
-        return changed & self.lengths.get(size, none), added & self.lengths.get(size + 1, none)
+        return changed & self.whole, added & self.long
 
 
-def _places(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _places(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and place of the bits that are set."""
     row, word = np.nonzero(bits)
     flags = np.unpackbits(bits[row, word].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -122,22 +121,17 @@ def _near_in_block(table: pa.Table) -> pa.Table:
     """For each word with near words in the block: how many, the most frequent, and its number of rows."""
     piece = table["piece"][0].as_py()
     words, n, size = table["word"].to_pylist(), table["n"].to_numpy(), table["size"].to_numpy()
-    lengths = np.array([len(w) for w in words])
-    width = int(lengths.max())
-    codes = np.array(words, dtype=f"<U{width}").view("<u4").reshape(len(words), width)
-    index = Index(codes, lengths)
     pairs = []
     for s in np.unique(size).tolist():
-        lo, hi = s * piece // PIECES, s * (piece + 1) // PIECES
-        allowed = index.pack(size == s)
-        asking = np.flatnonzero((size == s) & (lengths == s))
-        for i in range(0, len(asking), QUERY_ROWS):
-            mine = asking[i : i + QUERY_ROWS]
-            changed, added = index.near(codes[mine, :s], s, lo, hi, allowed)
-            row, other = _places(changed, index.n)
-            pairs.append((mine[row], other))
-            row, other = _places(added, index.n)
-            pairs += [(mine[row], other), (other, mine[row])]
+        rows = np.flatnonzero(size == s)
+        index = Index([words[i] for i in rows], s)
+        for i in range(0, len(index.short), QUERY_ROWS):
+            mine = rows[index.short[i : i + QUERY_ROWS]]
+            changed, added = index.near(index.letters[i : i + QUERY_ROWS], s * piece // PIECES, s * (piece + 1) // PIECES)
+            row, other = _places(changed)
+            pairs.append((mine[row], rows[other]))
+            row, other = _places(added)
+            pairs += [(mine[row], rows[other]), (rows[other], mine[row])]
     empty = np.empty(0, dtype=np.int64)
     one, two = (np.concatenate(x) for x in zip((empty, empty), *pairs, strict=True))
     # words in code-point order break ties
@@ -160,8 +154,8 @@ def _near_in_block(table: pa.Table) -> pa.Table:
 def near_words(vocabulary: DataFrame) -> DataFrame:
     """Rows word, n_near, best, best_n for the words (distinct, with ``n``) that have near words."""
     rows = keyed(vocabulary)
-    blocks = F.ceil(F.count("*") / (BLOCK_WORDS / (2 * PIECES))).cast("int")
-    n_blocks = max(1, vocabulary.agg(blocks).first()[0])
+    # a word has two keys per piece
+    n_blocks = -(-2 * vocabulary.count() // BLOCK_ROWS) or 1
     blocked = rows.withColumn("block", F.col("piece") * n_blocks + F.pmod("key", F.lit(n_blocks)))
     schema = "word string, n_near long, best string, best_n long"
     found = blocked.select("block", "piece", "size", "word", "n").groupBy("block").applyInArrow(_near_in_block, schema)
