@@ -14,6 +14,7 @@ from tablesift.llm.exact_dedup import exact_dedup
 from tablesift.llm.license_scan import license_digest, license_scan
 from tablesift.llm.lz_dedup import duplicate_spans
 from tablesift.llm.mixing import drawn, mix
+from tablesift.llm.ngram_join import similar_classes
 from tablesift.llm.order_minhash import near_classes
 from tablesift.llm.packing import pack_documents
 from tablesift.llm.periodic_runs import periodic_runs
@@ -119,6 +120,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_classes(documents(spark, sf_dir))
+
+
 def with_planted_misspellings(runs: DataFrame) -> DataFrame:
     """``word`` of each row, without one of its code points in about one of 97 of the pairs of id and word."""
     h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "word").cast("binary"))
@@ -145,6 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_order_minhash": op9_order_minhash,
         "op10_quality_rules": op10_quality_rules,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_ngram_join": op12_ngram_join,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
