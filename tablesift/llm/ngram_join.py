@@ -19,9 +19,10 @@ the product are needed:
   for is discarded; a row without pairs leaves the block.
 
 Links are wanted for what they connect, so a pair that other links join
-already isn't multiplied.  Each document is first compared with one row of
-each of its blocks; only blocks whose rows are still in different components
-are multiplied as a whole.
+already isn't multiplied.  Each document is first compared with one row (the
+pivot) of each of its blocks.  Blocks with one pivot are then one block, as
+near copies meet in many, and only those whose rows are still in different
+components are multiplied as a whole.
 """
 
 from __future__ import annotations
@@ -260,7 +261,7 @@ def product_links(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray,
 
 
 def unresolved(banded: DataFrame, roots: DataFrame, sets: DataFrame, folder: Folder, percent: int) -> DataFrame:
-    """Links (node, pivot) between nodes of one block that are in different components; a forest of each task."""
+    """Links (node, pivot) between nodes of one key that are in different components; a forest of each task."""
     rows = dealt(banded, roots, folder).join(sets, "node")
 
     def run(table: pa.Table) -> pa.Table:
@@ -340,8 +341,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = folder.cut(prints.select("node", "doc_id", "digest").join(meeting, "node", "left_semi"))
     sets = folder.cut(sets_of(docs, wanted, id_col, text_col, k))
 
-    # each node against one row of each of its blocks: first the row it meets most often
-    pivots = banded.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("p"), F.count("*").alias("in_band"))
+    # each node against one row of each of its blocks: first the row it meets most often; near copies tend to have the same pivot
+    pivots = banded.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p"), F.count("*").alias("in_band"))
     pivots = folder.cut(pivots.select("key", F.col("p.node").alias("pivot"), "in_band"))
     pairs = _with_frequent(banded, pivots, ["key"], "in_band").where("node <> pivot")
     pairs = folder.cut(pairs.groupBy("node", "pivot").agg(F.count("*").alias("times")))
@@ -352,8 +353,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = folder.cut(across(pairs.join(best, ["node", "pivot"], "left_anti"), roots))
     links = links.unionAll(folder.cut(verified(rest, sets, percent)))
     roots = connected(links, folder)
-    # blocks with rows of several components
-    links = links.unionAll(folder.cut(unresolved(banded, roots, sets, folder, percent)))
+    # two nodes of a block have its pivot
+    links = links.unionAll(folder.cut(unresolved(pairs.select(F.col("pivot").alias("key"), "node"), roots, sets, folder, percent)))
     roots = connected(links, folder).withColumnRenamed("node", "rep")
 
     by_rep = members.groupBy("rep").agg(F.count("*").alias("rep_size")).join(roots, "rep")
