@@ -178,7 +178,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: in
 
     rows = texts_of(docs, id_col, text_col).withColumnRenamed("digest", "d")
     wanted = nodes.select("node", F.col("doc_id").alias("id"), "digest")
-    met = rows.join(wanted, (F.col("d") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    # the same plan at every size: texts, keys and sets are shuffled, never the other side broadcast
+    met = rows.hint("merge").join(wanted, (F.col("d") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")))
     # rows that repeat id and text are one node
     met = met.select("node", "text").groupBy("node").agg(F.first("text").alias("text"))
     return met.mapInArrow(run, "node long, n long, grams binary")
@@ -218,7 +219,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield part.select(["node", "pivot"]).filter(pa.array(overlap >= asked(n[a:b], m[a:b], percent)))
 
     theirs = sets.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("grams").alias("theirs"))
-    joined = pairs.join(sets, "node").join(theirs, "pivot")
+    joined = pairs.hint("merge").join(sets, "node").hint("merge").join(theirs, "pivot")
     sizes_fit = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     return joined.where(sizes_fit).select("node", "pivot", "n", "m", "grams", "theirs").mapInArrow(run, "node long, pivot long")
 
@@ -262,7 +263,7 @@ def product_links(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray,
 
 def unresolved(banded: DataFrame, roots: DataFrame, sets: DataFrame, folder: Folder, percent: int) -> DataFrame:
     """Links (node, pivot) between nodes of one key that are in different components; a forest of each task."""
-    rows = dealt(banded, roots, folder).join(sets, "node")
+    rows = dealt(banded, roots, folder).hint("merge").join(sets, "node")
 
     def run(table: pa.Table) -> pa.Table:
         key, low, high, block, node, root = (table[c].to_numpy() for c in ("key", "low", "high", "block", "node", "root"))
@@ -333,10 +334,10 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = members.where("node = rep AND n > 0").select("node")
 
     # keys that several nodes have
-    banded = prints.join(reps, "node", "left_semi").select("node", F.explode("keys").alias("key"))
+    banded = prints.join(reps.hint("merge"), "node", "left_semi").select("node", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("in_band"))
     shared = folder.cut(shared.where("low <> high").select("key", "in_band"))
-    banded = folder.cut(_of_keys(banded, shared, "key", "in_band"))
+    banded = folder.cut(_of_keys(banded, shared.hint("merge"), "key", "in_band"))
     meeting = banded.select("node").distinct()
     wanted = folder.cut(prints.select("node", "doc_id", "digest").join(meeting, "node", "left_semi"))
     sets = folder.cut(sets_of(docs, wanted, id_col, text_col, k))
