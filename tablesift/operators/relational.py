@@ -11,11 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# A list handed to ``filter_members`` as a DataFrame is broadcast only when
-# it has at most this many rows (checked with a bounded count first);
-# otherwise the semi/anti join is left to the planner (shuffle join, AQE).
-BROADCAST_MEMBER_LIMIT = 1_000_000
-
 
 def linear_map(c: Column, factor: float = 2, offset: float = 0.5) -> Column:
     """``x * factor + offset`` as a double."""
@@ -39,23 +34,18 @@ def text_and_int(c: Column) -> tuple[Column, Column]:
     return text, text.try_cast("int")
 
 
-def _bounded_count(df: DataFrame, limit: int) -> int:
-    return df.limit(limit + 1).count()
-
-
 def filter_members(df: DataFrame, c: str, values, negate: bool = False) -> DataFrame:
     """Keep rows whose ``c`` is in ``values`` (or not, with ``negate``).
 
     ``values`` is a short Python list (becomes ``isin``; Spark ships it with
-    the plan) or a one-column DataFrame (becomes a semi / anti join,
-    broadcast only after its size is checked).  As with a list lookup, a null
+    the plan) or a one-column DataFrame (becomes a semi / anti join;
+    Spark broadcasts the list if its size in bytes, measured at run time, is
+    below ``spark.sql.autoBroadcastJoinThreshold``).  As with a list lookup, a null
     ``c`` is never a member, so ``negate`` keeps null rows.
     """
     if isinstance(values, DataFrame):
         key = values.columns[0]
         right = values.select(F.col(key).alias("__member")).where(F.col("__member").isNotNull()).distinct()
-        if _bounded_count(right, BROADCAST_MEMBER_LIMIT) <= BROADCAST_MEMBER_LIMIT:
-            right = F.broadcast(right)
         how = "left_anti" if negate else "left_semi"
         return df.join(right, F.col(c) == F.col("__member"), how)
     cond = F.col(c).isin(list(values))

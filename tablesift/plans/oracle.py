@@ -192,3 +192,39 @@ matched AS (
 SELECT m.dt AS dependent_table, m.a || ', ' || m.b AS dependent_columns,
        m.rt AS referenced_table, m.c || ', ' || m.d AS referenced_columns, 2 AS arity
 FROM matched m JOIN dtot ON dtot.t = m.dt AND dtot.c1 = m.a AND dtot.c2 = m.b AND dtot.n = m.n"""
+
+
+def longest_shared_sql(table: str, id_sql: str, text_col: str, window: int = 24) -> str:
+    """Longest shared substring per id for long texts.
+
+    Ids that share a window of ``window`` characters: pairs of equal windows
+    of two ids, and runs of them on one diagonal.  The others: their
+    substrings below that length, looked up among all."""
+    return f"""
+WITH t AS (SELECT {id_sql} AS id, coalesce({text_col}, '') AS txt FROM {table}),
+r AS MATERIALIZED (SELECT row_number() OVER () AS rid, id, txt FROM t WHERE id IS NOT NULL),
+ids AS (SELECT DISTINCT id FROM r),
+win AS MATERIALIZED (
+  SELECT rid, id, p, substr(txt, p, {window}) AS k FROM (SELECT *, unnest(range(1, length(txt) + 1)) AS p FROM r)),
+held AS (SELECT k FROM win WHERE length(k) = {window} GROUP BY k HAVING min(id) <> max(id)),
+kept AS MATERIALIZED (SELECT win.* FROM win JOIN held USING (k)),
+pairs AS (
+  SELECT a.rid AS r1, b.rid AS r2, a.id, a.p, b.p - a.p AS d FROM kept a JOIN kept b ON a.k = b.k AND a.id <> b.id),
+islands AS (SELECT *, p - row_number() OVER (PARTITION BY r1, r2, d ORDER BY p) AS g FROM pairs),
+runs AS (SELECT id, r1, min(p) AS s, count(*) + {window} - 1 AS n FROM islands GROUP BY id, r1, r2, d, g),
+longest AS (SELECT DISTINCT id, r1, s, n FROM (SELECT *, max(n) OVER (PARTITION BY id) AS m FROM runs) WHERE n = m),
+long_best AS (SELECT l.id, min(substr(r.txt, l.s, l.n)) AS sub FROM longest l JOIN r ON r.rid = l.r1 GROUP BY l.id),
+heads AS (
+  SELECT id, n, substr(k, 1, n) AS sub
+  FROM (SELECT id, k, unnest(range(1, least(length(k), {window} - 1) + 1)) AS n FROM win)),
+mine AS MATERIALIZED (
+  SELECT DISTINCT heads.id, n, sub FROM heads ANTI JOIN long_best ON heads.id = long_best.id),
+wanted AS MATERIALIZED (SELECT DISTINCT sub FROM mine),
+found AS MATERIALIZED (
+  SELECT sub FROM heads SEMI JOIN wanted USING (sub) GROUP BY sub HAVING min(id) <> max(id)),
+short_best AS (
+  SELECT id, sub FROM (SELECT mine.id, sub, row_number() OVER (PARTITION BY mine.id ORDER BY n DESC, sub) AS rk
+                       FROM mine JOIN found USING (sub)) WHERE rk = 1)
+SELECT ids.id, coalesce(l.sub, s.sub, '') AS substring
+FROM ids LEFT JOIN long_best l ON l.id = ids.id LEFT JOIN short_best s ON s.id = ids.id
+WHERE (SELECT count(*) FROM ids) >= 2"""

@@ -55,15 +55,18 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must already be there (a shared file system
-    path).  Only when it is unset, as in local tests, a fallback is installed:
-    ``fallback`` if given, else a fresh folder under the system temp dir.
+    On a cluster the setting must be there (a path of a shared file system):
+    without it this is an error, as executors could not read each other's
+    files.  In ``local[...]`` mode a folder is installed where it is unset:
+    ``fallback`` if given, else a fresh one under the system temp dir.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = fallback or tempfile.mkdtemp(prefix="tablesift-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
