@@ -62,7 +62,28 @@ OP5 = r"""WITH d AS (
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM d GROUP BY text_sha256)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)"""
 
+OP12 = rf"""WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM d),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (
+  SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reach AS (SELECT x, y FROM l UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+c AS (
+  SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id
+  FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.x = d.doc_id)
+SELECT *, count(*) OVER (PARTITION BY component_id)::BIGINT AS component_size FROM c"""
+
 ORACLES = {
     "op5_exact_dedup": OP5,
     "op10_quality_rules": OP10,
+    "op12_ngram_join": OP12,
 }
