@@ -82,8 +82,56 @@ c AS (
   FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.x = d.doc_id)
 SELECT *, count(*) OVER (PARTITION BY component_id)::BIGINT AS component_size FROM c"""
 
+# CRC-32 (polynomial 0xEDB88320, reflected) of a text's UTF-8 bytes: table by byte, then a fold over the bytes
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(0, 256))::BIGINT AS i)))"""
+
+
+def _crc32(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    octets = f"list_transform(range(0, length({digits}) // 2), lambda k: ('0x' || substr({digits}, (2 * k + 1)::INT, 2))::BIGINT)"
+    fold = f"list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))"
+    return f"xor({fold}, 4294967295)"
+
+
+OP13 = f"""WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+pairs AS (SELECT doc_id, w, count(*) AS c FROM runs GROUP BY doc_id, w),
+hashed AS (SELECT w, c, {_crc32("doc_id || ':' || w")} AS h FROM pairs, crc_table),
+planted AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, c
+  FROM hashed),
+v AS MATERIALIZED (
+  SELECT word, sum(c)::BIGINT AS n FROM planted WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+shorter AS (SELECT DISTINCT word, substr(word, 1, i - 1) || substr(word, i + 1) AS other FROM places),
+holed AS (SELECT word, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS k FROM places),
+near AS (
+  SELECT shorter.word AS a, v.word AS b FROM shorter JOIN v ON v.word = shorter.other
+  UNION SELECT v.word, shorter.word FROM shorter JOIN v ON v.word = shorter.other
+  UNION SELECT x.word, y.word FROM holed x JOIN holed y ON x.k = y.k AND x.i = y.i AND x.word <> y.word),
+ranked AS (
+  SELECT a, b, v.n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY v.n DESC, b) AS rk
+  FROM near JOIN v ON v.word = b),
+f AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN r.n >= 2 * v.n THEN b END AS form, CASE WHEN r.n >= 2 * v.n THEN r.n END AS form_n
+  FROM v LEFT JOIN ranked r ON r.a = v.word AND rk = 1),
+chain AS (
+  SELECT word, form AS r FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.r WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.r FROM chain JOIN f ON f.word = chain.r WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(ends.r, f.word) AS root, f.n, f.n_near, f.form_n FROM f LEFT JOIN ends USING (word)"""
+
 ORACLES = {
     "op5_exact_dedup": OP5,
     "op10_quality_rules": OP10,
     "op12_ngram_join": OP12,
+    "op13_spelling_variants": OP13,
 }
