@@ -129,9 +129,39 @@ chain AS (
 ends AS (SELECT chain.word, chain.r FROM chain JOIN f ON f.word = chain.r WHERE f.form IS NULL)
 SELECT f.word, f.form, coalesce(ends.r, f.word) AS root, f.n, f.n_near, f.form_n FROM f LEFT JOIN ends USING (word)"""
 
+# every qualifying run matches six words or more one period later, so equal windows of six words find all lags
+OP11 = rf"""WITH {CRC_TABLE},
+h AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w, {_crc32("doc_id::VARCHAR")} AS h FROM documents, crc_table),
+a AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+d AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w
+    ELSE list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) END AS w FROM p),
+places AS (SELECT doc_id, w, unnest(range(0, n)) AS i, n FROM d),
+six AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS k FROM places WHERE i + 6 <= n),
+lags AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM six x JOIN six y ON x.doc_id = y.doc_id AND x.k = y.k AND y.i > x.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM lags),
+long_ AS MATERIALIZED (
+  SELECT doc_id, min(i) AS s, count(*) + 5 + q AS m, q FROM islands GROUP BY doc_id, q, g HAVING count(*) + 5 + q >= greatest(12, 2 * q)),
+runs AS MATERIALIZED (
+  SELECT * FROM long_ r WHERE NOT EXISTS (
+    SELECT 1 FROM long_ o WHERE o.doc_id = r.doc_id AND o.q < r.q AND o.s <= r.s AND o.s + o.m >= r.s + r.m)),
+lines AS (
+  SELECT doc_id, count(*)::BIGINT AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY m DESC, s, q) AS rk FROM runs) WHERE rk = 1),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + m)) AS i FROM runs),
+kept AS (
+  SELECT places.doc_id, string_agg(w[places.i + 1], ' ' ORDER BY places.i) AS t
+  FROM places ANTI JOIN dropped ON places.doc_id = dropped.doc_id AND places.i = dropped.i GROUP BY places.doc_id)
+SELECT d.doc_id, d.n::BIGINT AS n_words, coalesce(n_runs, 0) AS n_runs, s AS start, m AS length, q AS period,
+  1000 * m // q AS exponent_milli, sha256(coalesce(lines.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN lines ON lines.doc_id = d.doc_id LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
 ORACLES = {
     "op5_exact_dedup": OP5,
     "op10_quality_rules": OP10,
+    "op11_periodic_runs": OP11,
     "op12_ngram_join": OP12,
     "op13_spelling_variants": OP13,
 }
