@@ -9,10 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: Java's String.trim() removes every char <= U+0020 at both ends
-# (not only spaces, unlike Spark's one-argument trim).
-JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
-
 
 def quote_name(name: str) -> str:
     """Backtick-quote a column name so dots and spaces are taken literally."""
@@ -24,12 +20,6 @@ def column(name: str) -> Column:
     return F.col(quote_name(name))
 
 
-def java_trim(c: Column) -> Column:
-    """Trim like ``java.lang.String.trim``: all chars <= U+0020, both ends
-    (``trim(BOTH chars FROM c)``, no regular expression)."""
-    return F.trim(c, F.lit(JAVA_TRIM_CHARS))
-
-
 def file_stem(c: Column) -> Column:
     """File name up to the first dot (``lineitem.tbl.csv`` -> ``lineitem``)."""
     return F.substring_index(c, ".", 1)
