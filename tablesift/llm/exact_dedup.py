@@ -126,14 +126,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 4) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns, whatever their names."""
     spark = docs.sparkSession
-    leaves = _leaf_rows(docs, id_col, text_col).select(
-        *KEY, F.col("doc_id").alias("keep_id"), F.col("tie").alias("keep_tie"), F.lit(1).cast("long").alias("group_size")
-    )
-    merged = merge_runs(leaves, int(spark.conf.get("spark.sql.shuffle.partitions")), fan_in)
-    merged = merged.select(*[F.col(k).alias(f"__{k}") for k in KEY], F.col("keep_id").alias("__keep_id"))
-    keyed = docs.withColumns({f"__{k}": c for k, c in digest_columns(F.col(text_col)).items()})
-    joined = keyed.join(merged, [f"__{k}" for k in KEY]).where(F.col(id_col).eqNullSafe(F.col("__keep_id")))
+    id_, text = (F.col(f"`{c}`") for c in (id_col, text_col))
+    leaves = _leaf_rows(docs.select(id_.alias("doc_id"), text.alias("text")), "doc_id", "text")
+    leaves = leaves.select(*KEY, F.col("doc_id").alias("keep_id"), F.col("tie").alias("keep_tie"), F.lit(1).cast("long").alias("group_size"))
+    merged = merge_runs(leaves, int(spark.conf.get("spark.sql.shuffle.partitions")), fan_in).select(*KEY, "keep_id")
+    # a row is one struct beside the keys, so no column of it can clash with theirs
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, id_.alias("id"), *[c.alias(k) for k, c in digest_columns(text).items()])
+    joined = keyed.join(merged, list(KEY)).where(F.col("id").eqNullSafe(F.col("keep_id")))
     # rows that repeat id and text: one of them; the join has them together already
-    return joined.dropDuplicates([f"__{k}" for k in KEY]).select(*[docs[c] for c in docs.columns])
+    return joined.dropDuplicates(list(KEY)).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

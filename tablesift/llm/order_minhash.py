@@ -507,7 +507,8 @@ def keep_first_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
     key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), digest.alias("sha"))
     kept = near_classes(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", **options)
-    kept = kept.where("kept").select(F.col("doc_id").alias("__near_key"))
-    # a row's key is never null, and the join leaves rows of one key together
-    rows = docs.withColumn("__near_key", key).join(kept, "__near_key", "left_semi").dropDuplicates(["__near_key"])
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.where("kept").select(F.col("doc_id").alias("key"))
+    # a row is one struct beside its key, so no column of it can clash with the key, which is never null
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, key.alias("key")).join(kept, "key", "left_semi").dropDuplicates(["key"])
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
