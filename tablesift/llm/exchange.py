@@ -23,6 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablesift.session import checkpoint_dir
 
 PACKED = "bucket int, batch int, kind int, payload binary"
 # of a 64-bit hash the upper half names the bucket, the lower 40 bits the entry in it
@@ -158,25 +161,47 @@ def seed_bits(keys: np.ndarray, answers: pa.Table) -> np.ndarray:
     return np.concatenate(bits).astype(bool) if bits else np.zeros(0, dtype=bool)
 
 
-# Order of document ids across batches
+# Order of document ids across batches: a number of fixed width goes with each entry
+
+
+def in_order(docs: DataFrame, id_col: str, text_col: str, n_batches: int) -> DataFrame:
+    """``batched`` rows with ``ord``, a long in the order of the ids (null for a null id).
+
+    An integer id is its own place.  Ids of another type are put in order by
+    one sort of the distinct ones over ranges; their numbers are checkpointed,
+    so that every step sees the same.
+    """
+    rows = batched(docs, id_col, text_col, n_batches)
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        return rows.withColumn("ord", F.col("doc_id").cast("long"))
+    checkpoint_dir(docs.sparkSession)
+    ids = rows.select("doc_id").where("doc_id is not null").distinct().orderBy("doc_id")
+    # numbers grow within a partition and from one to the next
+    ids = ids.withColumn("ord", F.monotonically_increasing_id()).checkpoint()
+    return rows.join(ids, "doc_id", "left").select("batch", "doc_id", "text", "ord")
+
+
+def order_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """``ord`` of each row (0 where null), and whether it is null."""
+    column = table["ord"].combine_chunks()
+    return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), column.is_null().to_numpy(zero_copy_only=False)
+
 
+def dense_ranks(value: np.ndarray, null: np.ndarray) -> np.ndarray:
+    """Dense rank of each place in the order, nulls last."""
+    out = np.empty(len(value), dtype=np.int64)
+    known, out[~null] = np.unique(value[~null], return_inverse=True)
+    out[null] = len(known)
+    return out
 
-def id_ranks(ids: pa.Array) -> np.ndarray:
-    """Dense rank of each id, nulls last."""
-    import pyarrow.compute as pc
 
-    if not len(ids):
-        return np.empty(0, np.int64)
-    return pc.rank(ids, sort_keys="ascending", null_placement="at_end", tiebreaker="dense").to_numpy().astype(np.int64) - 1
+def pack_order(value: np.ndarray, null: np.ndarray) -> bytes:
+    return planes(value) + np.packbits(null).tobytes()
 
 
-def ids_to_bytes(ids: pa.Array) -> bytes:
-    sink = pa.BufferOutputStream()
-    batch = pa.record_batch([ids], names=["id"])
-    with pa.ipc.new_stream(sink, batch.schema) as w:
-        w.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+def unpack_order(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    return from_planes(raw[: 8 * n], "i"), np.unpackbits(np.frombuffer(raw[8 * n :], np.uint8), count=n).astype(bool)
 
 
-def ids_from_bytes(raw: bytes) -> pa.Array:
-    return pa.ipc.open_stream(raw).read_all()["id"].combine_chunks()
+def order_bytes(n: int) -> int:
+    return 8 * n + -(-n // 8)

@@ -11,7 +11,9 @@ a second, independent 32-bit hash checks it.
 
 Only blocks that may match are looked up: a block's anchor (see ``anchors``)
 is sent first, 40 bits for each distinct one of a batch, and blocks whose
-anchor no other place has match nothing at once.
+anchor no other place has match nothing at once.  Each block carries its
+document's place in the order of ids as a number of fixed width, so the
+shuffle grows in proportion to the text.
 
 Defined results: a null text has no words; repeated rows are judged by their
 ids, so rows that share an id are no duplicates of each other; null ids come
@@ -32,19 +34,18 @@ from tablesift.llm import exchange as X
 from tablesift.llm.anchors import anchors, rolling, word_units
 
 BLOCKS = 1
-_BLOCK = np.dtype([("hash", "<u8"), ("check", "<u4"), ("id", "<u4")])
 
 
 class _Batch:
     """Words, anchors and distinct blocks of a batch of documents."""
 
     def __init__(self, table: pa.Table, window: int, k: int):
-        ids = table["doc_id"].combine_chunks()
-        rank = X.id_ranks(ids)
-        self.order = np.argsort(rank, kind="stable")  # rows in id order
-        self.ids = ids.take(pa.array(self.order))
-        self.rank = rank[self.order]
-        texts = table["text"].combine_chunks().take(pa.array(self.order)).to_pylist()
+        value, null = X.order_of(table)
+        order = np.lexsort((value, null))  # rows in id order
+        self.ids = table["doc_id"].combine_chunks().take(pa.array(order))
+        self.value, self.null = value[order], null[order]
+        self.rank = X.dense_ranks(self.value, self.null)
+        texts = table["text"].combine_chunks().take(pa.array(order)).to_pylist()
         self.raw = [t.encode() for t in texts]
         buffer = np.frombuffer(b" ".join(self.raw), dtype=np.uint8)
         self.begin, self.end, words = word_units(buffer)
@@ -71,44 +72,42 @@ class _Batch:
         self.entry = np.empty(len(h), dtype=np.int64)
         self.entry[by] = np.cumsum(new) - 1
         self.distinct, self.distinct_check = h[new], c[new]
-        self.first_rank = self.rank[self.row[by[new]]]
+        self.first_row = self.row[by[new]]
 
 
 def _send_blocks(batch: _Batch, number: int, n_buckets: int) -> pa.Table:
+    """The distinct blocks by bucket: their number, hashes, checks and the first document's place in the order of ids."""
     bucket = ((batch.distinct >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
-    out = np.empty(len(by), dtype=_BLOCK)
-    out["hash"], out["check"] = batch.distinct[by], batch.distinct_check[by]
-    dense, index = np.unique(batch.rank, return_inverse=True)
-    out["id"] = np.searchsorted(dense, batch.first_rank[by])
-    ids = X.ids_to_bytes(batch.ids.take(pa.array(np.searchsorted(batch.rank, dense))))
-    head = len(ids).to_bytes(8, "little") + ids
+    hash_, check, row = batch.distinct[by], batch.distinct_check[by], batch.first_row[by]
+    value, null = batch.value[row], batch.null[row]
     b = bucket[by]
     starts = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else []
     ends = [*starts[1:], len(b)] if len(b) else []
-    return X.packed([int(b[s]) for s in starts], number, BLOCKS, [head + out[s:e].tobytes() for s, e in zip(starts, ends, strict=True)])
+    payload = [
+        int(e - s).to_bytes(8, "little") + X.planes(hash_[s:e]) + check[s:e].tobytes() + X.pack_order(value[s:e], null[s:e])
+        for s, e in zip(starts, ends, strict=True)
+    ]
+    return X.packed([int(b[s]) for s in starts], number, BLOCKS, payload)
 
 
 def _answer_blocks(table: pa.Table) -> pa.Table:
     """A bit for each block: a smaller document of another batch has it."""
-    raw = table["payload"].to_pylist()
-    ids, rows = [], []
-    for r in raw:
+    parts = []
+    for r in table["payload"].to_pylist():
         n = int.from_bytes(r[:8], "little")
-        ids.append(X.ids_from_bytes(r[8 : 8 + n]))
-        rows.append(np.frombuffer(r[8 + n :], dtype=_BLOCK))
-    rank = X.id_ranks(pa.concat_arrays(ids))
-    at = np.cumsum([0, *[len(i) for i in ids]])
-    who = np.concatenate([rank[s + r["id"].astype(np.int64)] for s, r in zip(at, rows, strict=False)])
-    hash_, check = np.concatenate([r["hash"] for r in rows]), np.concatenate([r["check"] for r in rows])
-    by = np.lexsort((who, check, hash_))
-    h, c, w = hash_[by], check[by], who[by]
+        parts.append((X.from_planes(r[8 : 8 + 8 * n]), np.frombuffer(r, "<u4", n, 8 + 8 * n), *X.unpack_order(r[8 + 12 * n :], n)))
+    ends = np.cumsum([len(p[0]) for p in parts])
+    hash_, check, value, null = (np.concatenate(c) for c in zip(*parts, strict=True))
+    del parts
+    by = np.lexsort((value, null, check, hash_))
+    h, c, v, z = hash_[by], check[by], value[by], null[by]
     new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
-    smallest = w[new][np.cumsum(new) - 1]
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    # in a block's rows the first is the smallest
     smaller = np.empty(len(by), dtype=bool)
-    smaller[by] = smallest < w
-    ends = np.cumsum([len(r) for r in rows])
-    bits = [np.packbits(smaller[e - len(r) : e]).tobytes() for e, r in zip(ends, rows, strict=True)]
+    smaller[by] = (v != v[first]) | (z != z[first])
+    bits = [np.packbits(smaller[s:e]).tobytes() for s, e in zip([0, *ends[:-1]], ends, strict=True)]
     return table.select(["bucket", "batch", "kind"]).append_column("payload", pa.array(bits, pa.binary()))
 
 
@@ -123,12 +122,10 @@ def _factors(batch: _Batch, answers: pa.Table, n_buckets: int) -> np.ndarray:
     elsewhere = np.zeros(len(batch.distinct), dtype=bool)
     if bits:
         elsewhere[by] = np.concatenate(bits).astype(bool)
-    matched = elsewhere[batch.entry] | (batch.rank[batch.row] > batch.first_rank[batch.entry])
+    matched = elsewhere[batch.entry] | (batch.rank[batch.row] > batch.rank[batch.first_row][batch.entry])
     # each matching block reaches window - 1 words on
-    step = np.zeros(len(batch.words) + 1, dtype=np.int64)
     at = batch.place[matched]
-    np.add.at(step, at, 1)
-    np.add.at(step, at + batch.window, -1)
+    step = np.bincount(at, minlength=len(batch.words) + 1) - np.bincount(at + batch.window, minlength=len(batch.words) + 1)
     return np.cumsum(step[:-1]) > 0
 
 
@@ -144,7 +141,7 @@ def duplicate_spans(
     """One row per input row: doc_id, n_words, n_removed, ``spans`` (array of first word and words of each run),
     ``kept_text`` (the other words, joined by one space) and its SHA-256."""
     n_batches, n_buckets = X.sizes(docs, text_col, batch_bytes, bucket_bytes)
-    rows = X.batched(docs, id_col, text_col, n_batches)
+    rows = X.in_order(docs, id_col, text_col, n_batches)
 
     def seeds(table: pa.Table) -> pa.Table:
         _, sent = X.send_seeds(_Batch(table, window, k).anchors.seed, table["batch"][0].as_py(), n_buckets)

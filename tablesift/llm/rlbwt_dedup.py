@@ -7,19 +7,19 @@ is indexed in blocks.  A block holds the contexts of the anchors (see
 anchor gram are in one block, so it has every place a string of its own could
 match.  In a block:
 
-* the suffixes at all string starts are put in order by prefix doubling over
-  their first ``length`` bytes (8, 16, 32, 64, then all), which is as deep as
-  a match has to be looked at;
-* strings of equal rank are grouped, parted by the byte before them as the
-  runs of a Burrows-Wheeler transform are, and each group keeps its place
-  that comes first in the corpus;
-* a string has a match at an earlier place exactly if one of the groups of
-  its rank has an earlier one.  The byte before never changes that; there is
-  no backward search.
-
-A suffix array of
-the whole corpus is never built; anchors that no other place shares are not
-indexed at all, and a batch of documents sends each distinct context once.
+* each string of ``length`` bytes gets a name of 128 bits from two independent
+  polynomial hashes, read off running sums, so a string costs the same
+  whatever its length;
+* equal strings have their anchor at the same offset, so the strings are
+  sorted by name for one range of offsets at a time, and a string has a match
+  at an earlier place exactly if the first place of its name is earlier.
+
+This is no Burrows-Wheeler transform: ranking all suffixes of the blocks to
+``length`` bytes took more than the time there is (README), and strings of
+one fixed length need no order, only equality.  Anchors that no other place
+shares are not indexed at all, a batch of documents sends each distinct
+context once, and each carries its document's place in the order of ids as a
+number of fixed width, so the shuffle grows in proportion to the text.
 
 Defined results: a null text has no bytes; places in rows with the same id are
 ordered by their start, and equal ones are not earlier than each other; null
@@ -37,22 +37,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tablesift.llm import exchange as X
-from tablesift.llm.anchors import BYTE_HASH, anchors, blocks
+from tablesift.llm.anchors import BYTE_HASH, anchors, blocks, mix
 
 CONTEXTS = 1
-_ENTRY = np.dtype([("offset", "<u2"), ("windows", "<u2"), ("id", "<u4"), ("place", "<u4")])
+_ENTRY = np.dtype([("offset", "<u2"), ("windows", "<u2"), ("place", "<u4")])
 _BLOCK_BYTES = 1 << 20
+# strings sorted at once
+PASS_STRINGS = 1 << 20
+# odd factors of the two names of a string
+_FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 class _Batch:
     """Bytes and anchors of a batch of documents, in id order."""
 
     def __init__(self, table: pa.Table, length: int, k: int):
-        ids = table["doc_id"].combine_chunks()
-        rank = X.id_ranks(ids)
-        order = np.argsort(rank, kind="stable")
-        self.ids, self.rank = ids.take(pa.array(order)), rank[order]
-        raw = [t.encode() for t in table["text"].combine_chunks().take(pa.array(order)).to_pylist()]
+        value, null = X.order_of(table)
+        raw = [t.encode() for t in table["text"].to_pylist()]
+        # rows of one id in the order of their texts, so that every step has them alike
+        order = np.array(sorted(range(len(raw)), key=lambda i: (null[i], value[i], raw[i])), dtype=np.int64)
+        raw = [raw[i] for i in order]
+        self.ids = table["doc_id"].combine_chunks().take(pa.array(order))
+        self.value, self.null = value[order], null[order]
+        self.rank = X.dense_ranks(self.value, self.null)
         self.lengths = np.array([len(r) for r in raw], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.buffer = np.frombuffer(b"".join(raw), dtype=np.uint8)
@@ -99,82 +106,92 @@ class _Batch:
 def _send_contexts(batch: _Batch, number: int, n_buckets: int) -> pa.Table:
     order, bucket = batch.by_bucket(n_buckets)
     heads = batch.heads[order]
-    dense = np.unique(batch.rank)
-    ids = X.ids_to_bytes(batch.ids.take(pa.array(np.searchsorted(batch.rank, dense))))
+    row = batch.row[heads]
+    value, null = batch.value[row], batch.null[row]
     entries = np.empty(len(heads), dtype=_ENTRY)
-    entries["offset"], entries["windows"] = batch.offset[heads], batch.windows[heads]
-    entries["id"], entries["place"] = np.searchsorted(dense, batch.who[heads]), batch.within[heads]
+    entries["offset"], entries["windows"], entries["place"] = batch.offset[heads], batch.windows[heads], batch.within[heads]
     data = batch.buffer.tobytes()
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
     ends = [*starts[1:], len(bucket)] if len(bucket) else []
     payload = []
     for s, e in zip(starts, ends, strict=True):
         texts = [data[batch.first[h] : batch.last[h] + batch.length] for h in heads[s:e]]
-        payload.append(len(ids).to_bytes(8, "little") + (e - s).item().to_bytes(8, "little") + ids + entries[s:e].tobytes() + b"".join(texts))
+        payload.append(b"".join([int(e - s).to_bytes(8, "little"), entries[s:e].tobytes(), X.pack_order(value[s:e], null[s:e]), *texts]))
     return X.packed([int(bucket[s]) for s in starts], number, CONTEXTS, payload)
 
 
-def suffix_classes(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Lexicographic rank of the ``length`` bytes at each start (equal strings: equal ranks); ``length`` is at least 8."""
-    n = len(text) - 7
-    key = np.zeros(n, dtype=np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | text[i : i + n]
-    size = 8
-    while True:
-        ranks = np.unique(key, return_inverse=True)[1].astype(np.uint64)
-        if size * 2 > length:
-            break
-        key = (ranks[: len(ranks) - size] << np.uint64(32)) | ranks[size:]
-        size *= 2
-    last = (ranks[starts] << np.uint64(32)) | ranks[starts + (length - size)]
-    return np.unique(last, return_inverse=True)[1]
-
-
-class RunLengthIndex:
-    """Runs of the Burrows-Wheeler transform of the strings of a block, each with its earliest place."""
-
-    def __init__(self, text: np.ndarray, starts: np.ndarray, inner: np.ndarray, place: np.ndarray, length: int):
-        """``inner``: whether the byte before a start belongs to its context; ``place``: order of the starts in the corpus."""
-        self.string = suffix_classes(text, starts, length)
-        before = np.where(inner, text[starts - 1].astype(np.int64) + 1, 0)
-        key = self.string * 512 + before
-        order = np.lexsort((place, key))
-        key = key[order]
-        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        self.run_string = key[head] // 512
-        self.run_sample = place[order[head]]
-
-    def matches_earlier(self, place: np.ndarray) -> np.ndarray:
-        """For each string in turn: it also starts at an earlier place."""
-        first = np.flatnonzero(np.concatenate([[True], self.run_string[1:] != self.run_string[:-1]]))
-        earliest = np.minimum.reduceat(self.run_sample, first)
-        return earliest[self.string] < place
+class StringNames:
+    """Names of the strings of one length in a text of short pieces: two 64-bit hashes each."""
+
+    def __init__(self, text: np.ndarray, sizes: np.ndarray, length: int):
+        self.length, longest = length, int(sizes.max())
+        ends = np.cumsum(sizes)
+        within = (np.arange(len(text)) - np.repeat(ends - sizes, sizes)).astype(np.int32)
+        self.sums, self.inverse = [], []
+        for family, factor in enumerate(_FACTORS):
+            powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(longest, factor, dtype=np.uint64)]))
+            back = np.uint64(pow(factor, -1, 1 << 64))
+            self.inverse.append(np.cumprod(np.concatenate([[np.uint64(1)], np.full(longest, back, dtype=np.uint64)])))
+            byte = mix(BYTE_HASH + np.uint64(family))
+            sums = np.zeros(len(text) + 1, dtype=np.uint64)
+            np.cumsum(byte[text] * powers[within], out=sums[1:])
+            self.sums.append(sums)
+
+    def at(self, start: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Names of the strings at these places of the text, which lie at ``within`` of their pieces."""
+        one, two = (mix((s[start + self.length] - s[start]) * i[within]) for s, i in zip(self.sums, self.inverse, strict=True))
+        return one, two
+
+
+def _later(one: np.ndarray, two: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether another string of the same name has an earlier place."""
+    order = np.argsort(one)
+    head = np.concatenate([[True], one[order[1:]] != one[order[:-1]]])
+    if not head[np.flatnonzero(two[order[1:]] != two[order[:-1]]) + 1].all():  # first names that agree by chance
+        order = np.lexsort((two, one))
+        head = np.concatenate([[True], (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])])
+    earliest = np.minimum.reduceat(place[order], np.flatnonzero(head))
+    later = np.empty(len(order), dtype=bool)
+    later[order] = earliest[np.cumsum(head) - 1] < place[order]
+    return later
+
+
+def offset_ranges(offset: np.ndarray, windows: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of anchor offsets (first, last) with about ``most`` strings each."""
+    top = int(offset.max())
+    step = np.bincount(offset - windows + 1, minlength=top + 2) - np.bincount(offset + 1, minlength=top + 2)
+    return [(a, b - 1) for a, b in blocks(np.cumsum(step)[: top + 1], most)]
 
 
 def _answer_contexts(table: pa.Table, length: int) -> pa.Table:
     """For each string start of each context: it is not the first of its string."""
-    ids, entries, texts = [], [], []
+    entries, orders, texts = [], [], []
     for raw in table["payload"].to_pylist():
-        n_ids, n = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
-        ids.append(X.ids_from_bytes(raw[16 : 16 + n_ids]))
-        entries.append(np.frombuffer(raw, _ENTRY, n, 16 + n_ids))
-        texts.append(np.frombuffer(raw, np.uint8, offset=16 + n_ids + n * _ENTRY.itemsize))
-    rank = X.id_ranks(pa.concat_arrays(ids))
-    at = np.cumsum([0, *[len(i) for i in ids]])
-    who = np.concatenate([rank[s + e["id"].astype(np.int64)] for s, e in zip(at, entries, strict=False)])
-    entry = np.concatenate(entries)
-    text = np.concatenate(texts)
-    windows = entry["windows"].astype(np.int64)
+        n = int.from_bytes(raw[:8], "little")
+        after = 8 + n * _ENTRY.itemsize
+        entries.append(np.frombuffer(raw, _ENTRY, n, 8))
+        orders.append(X.unpack_order(raw[after : after + X.order_bytes(n)], n))
+        texts.append(np.frombuffer(raw, np.uint8, offset=after + X.order_bytes(n)))
+    counts = np.cumsum([int(e["windows"].astype(np.int64).sum()) for e in entries])
+    entry, text = np.concatenate(entries), np.concatenate(texts)
+    who = X.dense_ranks(*(np.concatenate(c) for c in zip(*orders, strict=True)))
+    del entries, orders, texts
+    offset, windows = entry["offset"].astype(np.int64), entry["windows"].astype(np.int64)
     sizes = windows + length - 1
     base = np.cumsum(sizes) - sizes
-    ends = np.cumsum(windows)
-    nth = np.arange(int(ends[-1])) - np.repeat(ends - windows, windows)
-    starts = np.repeat(base, windows) + nth
-    in_doc = np.repeat(entry["place"].astype(np.int64) - entry["offset"], windows) + nth
-    place = (np.repeat(who, windows) << 32) | in_doc
-    later = RunLengthIndex(text, starts, nth > 0, place, length).matches_earlier(place)
-    counts = np.cumsum([int(e["windows"].astype(np.int64).sum()) for e in entries])
+    flag = np.cumsum(windows) - windows
+    names = StringNames(text, sizes, length)
+    later = np.zeros(int(windows.sum()), dtype=bool)
+    for low, high in offset_ranges(offset, windows, PASS_STRINGS):
+        # the string at window j of a context has its anchor at offset - j
+        begin = np.maximum(0, offset - high)
+        many = np.maximum(0, np.minimum(windows - 1, offset - low) - begin + 1)
+        of = np.repeat(np.arange(len(entry)), many)
+        if not len(of):
+            continue
+        nth = np.arange(len(of)) + np.repeat(begin - (np.cumsum(many) - many), many)
+        place = (who[of] << 32) | (entry["place"][of].astype(np.int64) - offset[of] + nth)
+        later[flag[of] + nth] = _later(*names.at(base[of] + nth, nth), place)
     bits = [np.packbits(later[a:b]).tobytes() for a, b in zip([0, *counts[:-1]], counts, strict=True)]
     return table.select(["bucket", "batch", "kind"]).append_column("payload", pa.array(bits, pa.binary()))
 
@@ -189,7 +206,7 @@ def _removed(batch: _Batch, answers: pa.Table, n_buckets: int) -> np.ndarray:
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         n = np.add.reduceat(sent, cuts)
         later = [np.unpackbits(np.frombuffer(p, np.uint8), count=int(c)) for p, c in zip(X.answers_of(answers, CONTEXTS), n, strict=True)]
-    step = np.zeros(len(batch.buffer) + 1, dtype=np.int32)
+    step = np.zeros(len(batch.buffer) + 1, dtype=np.int64)
     if len(order):
         flags = np.concatenate(later).astype(bool)
         # where each distinct context's flags begin
@@ -202,8 +219,7 @@ def _removed(batch: _Batch, answers: pa.Table, n_buckets: int) -> np.ndarray:
         nth = np.arange(int(ends[-1])) - np.repeat(ends - counts, counts)
         gone = flags[np.repeat(begin[batch.entry], counts) + nth] | ~np.repeat(first, counts)
         at = (np.repeat(batch.first, counts) + nth)[gone]
-        np.add.at(step, at, 1)
-        np.add.at(step, at + batch.length, -1)
+        step += np.bincount(at, minlength=len(step)) - np.bincount(at + batch.length, minlength=len(step))
     return np.cumsum(step[:-1]) > 0
 
 
@@ -219,7 +235,7 @@ def duplicate_bytes(
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, ``spans`` (first byte and length of each removed run),
     ``kept`` (the other bytes) and its SHA-256."""
     n_batches, n_buckets = X.sizes(docs, text_col, batch_bytes, bucket_bytes)
-    rows = X.batched(docs, id_col, text_col, n_batches)
+    rows = X.in_order(docs, id_col, text_col, n_batches)
 
     def seeds(table: pa.Table) -> pa.Table:
         return X.send_seeds(_Batch(table, length, k).seed, table["batch"][0].as_py(), n_buckets)[1]

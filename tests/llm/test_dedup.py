@@ -10,7 +10,7 @@ import pytest
 from tablesift.llm import order_minhash as om
 from tablesift.llm.exact_dedup import exact_dedup, keep_first
 from tablesift.llm.lz_dedup import duplicate_spans
-from tablesift.llm.rlbwt_dedup import duplicate_bytes
+from tablesift.llm.rlbwt_dedup import StringNames, duplicate_bytes, offset_ranges
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -225,3 +225,97 @@ def test_suffix_dedup_equals_brute_force(docs):
         want[i] = (len(raw[i]), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in duplicate_bytes(docs).collect()}
     assert got == want
+
+
+def odd_rows() -> list[tuple]:
+    """Null ids, ids that repeat with one text and with several, null and empty texts, a long text of copies."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{rng.randrange(900)}" for _ in range(40))
+    other = " ".join(f"q{rng.randrange(900)}" for _ in range(40))
+    rows = [(None, passage), (None, passage + " end"), (7, passage), (7, "x " + passage), (7, other), (7, other), (-3, passage + " " + other)]
+    rows += [(i, f"a{i} {other} b{i} {passage}") for i in range(20, 40)] + [(50, None), (51, ""), (52, (passage + " ") * 200)]
+    return rows
+
+
+def later_than(a, b) -> bool:
+    """Id ``a`` comes after ``b``; nulls last."""
+    return (a is None, a if a is not None else 0) > (b is None, b if b is not None else 0)
+
+
+def words_removed(rows: list[tuple]) -> list[tuple]:
+    first: dict[tuple, object] = {}
+    cut = [(i, re.findall(WORD, t or "")) for i, t in rows]
+    for i, w in cut:
+        for s in range(len(w) - 12):
+            key = tuple(w[s : s + 13])
+            if key not in first or later_than(first[key], i):
+                first[key] = i
+    out = []
+    for i, w in cut:
+        gone = {p for s in range(len(w) - 12) if later_than(i, first[tuple(w[s : s + 13])]) for p in range(s, s + 13)}
+        out.append((i, len(w), len(gone)))
+    return sorted(out, key=str)
+
+
+def bytes_removed(rows: list[tuple]) -> list[tuple]:
+    first: dict[bytes, tuple] = {}
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    place = lambda i, s: (i is None, i if i is not None else 0, s)
+    for i, r in raw:
+        for s in range(len(r) - 99):
+            first[r[s : s + 100]] = min(first.get(r[s : s + 100], place(i, s)), place(i, s))
+    out = []
+    for i, r in raw:
+        gone = np.zeros(len(r), dtype=bool)
+        for s in range(len(r) - 99):
+            if first[r[s : s + 100]] < place(i, s):
+                gone[s : s + 100] = True
+        out.append((i, len(r), int(gone.sum())))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("id_type", ["long", "string"])
+def test_spans_with_null_and_repeated_ids(spark, id_type):
+    # text ids in the order of the numbers
+    name = (lambda i: i) if id_type == "long" else (lambda i: None if i is None else f"{i + 100:05d}")
+    rows = [(name(i), t, "clash") for i, t in odd_rows()]
+    docs = spark.createDataFrame(rows, f"doc_id {id_type}, text string, batch string").repartition(4)
+    got = [(r["doc_id"], r["n_words"], r["n_removed"]) for r in duplicate_spans(docs, batch_bytes=4000, bucket_bytes=4000).collect()]
+    want = [(name(i), *rest) for i, *rest in words_removed(odd_rows())]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in duplicate_bytes(docs, batch_bytes=4000, bucket_bytes=4000).collect()]
+    want = [(name(i), *rest) for i, *rest in bytes_removed(odd_rows())]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_dedup_of_empty_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    for operator in (duplicate_spans, duplicate_bytes, exact_dedup, keep_first, om.keep_first_of_class):
+        assert operator(empty).count() == 0
+
+
+def test_names_and_ranges_of_strings():
+    rng = np.random.default_rng(2)
+    sizes = np.array([100, 130, 168, 111])
+    text = rng.integers(0, 2, sizes.sum()).astype(np.uint8)
+    text[100:230] = text[230 + 20 : 230 + 150]  # the second piece is part of the third
+    base = np.cumsum(sizes) - sizes
+    of = np.repeat(np.arange(4), sizes - 99)
+    nth = np.concatenate([np.arange(n - 99) for n in sizes])
+    one, two = StringNames(text, sizes, 100).at(base[of] + nth, nth)
+    raw = [text[s : s + 100].tobytes() for s in base[of] + nth]
+    assert [(raw[i] == raw[j]) for i in range(len(raw)) for j in range(i)] == [(one[i] == one[j]) for i in range(len(raw)) for j in range(i)]
+    assert len(set(two.tolist())) == len(set(raw))
+    offset, windows = np.array([5, 68, 30, 5]), np.array([6, 69, 10, 1])
+    ranges = offset_ranges(offset, windows, 8)
+    assert [o for a, b in ranges for o in range(a, b + 1)] == list(range(69))
+
+
+def test_kept_rows_keep_columns_of_any_name(spark):
+    schema = "doc_id long, text string, `a.b` long, __sha string, sha string, key string, __near_key string, `row` int, keep_id int"
+    text = "one two three four five six seven"
+    rows = [(2, text, 1, "s", "t", "k", "n", 5, 6), (1, text, 2, "s2", "t2", "k2", "n2", 7, 8), (3, None, 3, None, None, None, None, 9, 0)]
+    docs = spark.createDataFrame(rows, schema)
+    for kept in (keep_first(docs), om.keep_first_of_class(docs)):
+        assert kept.columns == docs.columns
+        assert sorted(tuple(r) for r in kept.collect()) == sorted(rows[1:])
