@@ -48,5 +48,5 @@ def discover_folder(
     else:
         lines = ind.ind_lines_grouped(space)
     if output is not None:
-        write_lines(lines, output)
+        write_lines(lines, output, single_file=True)  # bounded by the attribute pairs
     return lines

@@ -12,6 +12,7 @@ from tablesift.operators import ind
 from tablesift.plans.jobs import discover_folder
 from tablesift.sources.csv import PLAIN_CSV, STRICT_CSV, TRIMMED_CSV, read_csv
 from tablesift.sources.folder import InputFolderError, list_files, load_folder
+from tablesift.sources.sinks import line_order, write_lines
 from tablesift.sources.tables import STAR_TABLES, read_tables
 from tests.conftest import SF_SMALL
 
@@ -147,3 +148,24 @@ def test_every_plain_file_of_a_folder_counts(spark, tmp_dir):
             f.write("x\n1\n")
     tables = load_folder(spark, tmp_dir)
     assert {n: [r.x for r in t.collect()] for n, t in tables.items()} == {n: [n] for n in ("a.csv", "_b.csv", ".c.csv", "q[1].csv")}
+
+
+def test_sorted_parts_and_their_manifest(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "lines")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # a third of all lines are one line
+        lines = spark.range(3000).selectExpr("if(id % 3 = 0, 'same', sha2(string(id), 256)) as line").repartition(5)
+        write_lines(lines, out)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    names = sorted(n for n in os.listdir(out) if n.startswith("part-"))
+    assert len(names) > 1
+    texts = [open(os.path.join(out, n), encoding="utf-8").read().splitlines() for n in names]
+    want = sorted(r.line for r in lines.collect())
+    assert [t for part in texts for t in part] == want
+    assert spark.read.text(out).count() == 3000
+    manifest = sorted(tuple(r) for r in line_order(spark, out).collect())
+    assert manifest == [(n, len(t), t[0], t[-1]) for n, t in zip(names, texts, strict=True) if t]
+    write_lines(lines.where("false"), out)
+    assert spark.read.text(out).count() == 0 and line_order(spark, out).count() == 0

@@ -34,18 +34,18 @@ def test_typed_csv(spark, tmp_dir):
 
 def test_date_frame(spark):
     frame = spark.range(5).withColumns(
-        {"date_today": F.current_date(), "stamp_now": F.current_timestamp(), "nulls": F.lit(None).cast("string")}
+        {"day": F.current_date(), "made_at": F.current_timestamp(), "note": F.lit(None).cast("string")}
     )
-    filled = relational.fill_and_flag_nulls(frame, "no_null_value", ["date_today", "stamp_now", "nulls"])
+    filled = relational.fill_and_flag_nulls(frame, "unset", ["day", "made_at", "note"])
     rows = filled.select(
         "id",
-        F.date_add("date_today", 7).alias("date_next_week"),
-        F.col("nulls").alias("no_nulls"),
-        F.col("nulls").isNull().alias("is_null"),
-        (F.datediff(F.date_add("date_today", 7), "date_today")).alias("days"),
+        F.date_add("day", 7).alias("week_later"),
+        F.col("note").alias("filled_note"),
+        F.col("note").isNull().alias("note_missing"),
+        (F.datediff(F.date_add("day", 7), "day")).alias("days"),
     ).collect()
     assert len(rows) == 5
-    assert all(r.no_nulls == "no_null_value" and r.is_null is False and r.days == 7 for r in rows)
+    assert all(r.filled_note == "unset" and r.note_missing is False and r.days == 7 for r in rows)
 
 
 def test_ind_records_dedupe(spark):

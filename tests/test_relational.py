@@ -59,8 +59,8 @@ def test_fill_only_string_columns(spark):
         [(1, None, None, None), (2, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 1), "x")],
         "id long, d date, ts timestamp, s string",
     )
-    out = {r.id: r for r in R.fill_and_flag_nulls(df, "no_null_value", ["d", "ts", "s"]).collect()}
-    assert out[1].d is None and out[1].ts is None and out[1].s == "no_null_value"
+    out = {r.id: r for r in R.fill_and_flag_nulls(df, "unset", ["d", "ts", "s"]).collect()}
+    assert out[1].d is None and out[1].ts is None and out[1].s == "unset"
     assert out[2].s == "x"
 
 
