@@ -158,7 +158,22 @@ SELECT d.doc_id, d.n::BIGINT AS n_words, coalesce(n_runs, 0) AS n_runs, s AS sta
   1000 * m // q AS exponent_milli, sha256(coalesce(lines.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
 FROM d LEFT JOIN lines ON lines.doc_id = d.doc_id LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
 
+OP4 = rf"""WITH
+d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d),
+windows AS MATERIALIZED (SELECT doc_id, i, array_to_string(w[i + 1:i + 13], ' ') AS k FROM places WHERE i + 13 <= len(w)),
+first AS (SELECT k, min(doc_id) AS smallest FROM windows GROUP BY k HAVING min(doc_id) < max(doc_id)),
+matched AS (SELECT windows.doc_id, i FROM windows JOIN first ON windows.k = first.k WHERE smallest < windows.doc_id),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM matched),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT places.doc_id, string_agg(w[places.i + 1], ' ' ORDER BY places.i) AS t
+  FROM places ANTI JOIN gone ON places.doc_id = gone.doc_id AND places.i = gone.i GROUP BY places.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(removed.n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN removed ON removed.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
 ORACLES = {
+    "op4_lz_dedup": OP4,
     "op5_exact_dedup": OP5,
     "op10_quality_rules": OP10,
     "op11_periodic_runs": OP11,
