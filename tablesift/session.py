@@ -67,10 +67,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    path = fallback or tempfile.mkdtemp(prefix="tablesift-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    # the setting is fixed once a session runs; the context remembers the folder instead
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(fallback or tempfile.mkdtemp(prefix="tablesift-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scale_conf(
