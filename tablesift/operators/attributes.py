@@ -79,6 +79,7 @@ class IndOptions:
     trim: bool  # Java-style trim of both ends
     drop_null: bool
     drop_blank: bool  # blank = empty string after the optional trim
+    missing: str | None = None  # text that stands for a cell that isn't there, dropped by every preset
 
 
 TRIMMED = IndOptions("trimmed", merge_same_names=True, trim=True, drop_null=True, drop_blank=True)
@@ -278,6 +279,8 @@ class AttributeSpace:
         if not parts:
             return self._empty_unpivot(payload)
         rows = reduce(DataFrame.unionByName, parts)
+        if self.options.missing is not None:
+            rows = rows.where(~F.col("v").eqNullSafe(F.lit(self.options.missing)))
         cond = self.keep_condition(F.col("v"))
         if keep_all:
             return rows.withColumn("kept", cond if cond is not None else F.lit(True))

@@ -63,6 +63,8 @@ def _keep_sql(options: IndOptions, col: str) -> str:
         conds.append(f"{c} IS NOT NULL")
     if options.drop_blank:
         conds.append(f"coalesce({c} <> '', {'false' if options.drop_null else 'true'})")
+    if options.missing is not None:
+        conds.append(f"NOT ({c} <=> {sql_string(options.missing)})")
     return "(" + " AND ".join(conds) + ")"
 
 

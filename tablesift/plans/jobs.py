@@ -3,9 +3,10 @@
 Preset ``trimmed``: ``;`` files with header, attributes by bare column name,
 trimmed values, nulls and blanks dropped; one line per dependent
 (``DEP < REF1, REF2``).  A missing or empty folder gives an empty result.
+Files with equal headers are one table, read by one scan.
 
 Preset ``strict``: same files, attributes by (file, column), raw values with
-null and blank kept apart; one line per IND (``depFile -> refFile: [dep] c
+null and blank kept apart, cells that a short record lacks left out; one line per IND (``depFile -> refFile: [dep] c
 [ref]``).  A missing or empty folder is an error.
 
 Either way an existing output is replaced, also by an empty result.
@@ -13,13 +14,15 @@ Either way an existing output is replaced, also by an empty result.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablesift.operators import ind
 from tablesift.operators.attributes import PRESETS, AttributeSpace
-from tablesift.sources.csv import STRICT_CSV, TRIMMED_CSV, CsvOptions
-from tablesift.sources.folder import load_folder
+from tablesift.sources.csv import MISSING_CELL, STRICT_CSV, TRIMMED_CSV, CsvOptions
+from tablesift.sources.folder import load_folder, load_layouts
 from tablesift.sources.sinks import write_lines
 
 
@@ -27,7 +30,9 @@ def folder_space(spark: SparkSession, path: str, preset: str = "trimmed", csv: C
     options = PRESETS[preset]
     strict = preset == "strict"
     csv = csv or (STRICT_CSV if strict else TRIMMED_CSV)
-    tables = load_folder(spark, path, csv, missing_ok=not strict)
+    if csv.mark_missing:
+        options = replace(options, missing=MISSING_CELL)
+    tables = load_folder(spark, path, csv, missing_ok=False) if strict else load_layouts(spark, path, csv)
     return AttributeSpace.build(spark, tables, options)
 
 

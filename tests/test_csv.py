@@ -9,9 +9,9 @@ import pytest
 
 from tablesift.operators import attributes as A
 from tablesift.operators import ind
-from tablesift.plans.jobs import discover_folder
-from tablesift.sources.csv import PLAIN_CSV, STRICT_CSV, TRIMMED_CSV, read_csv
-from tablesift.sources.folder import InputFolderError, list_files, load_folder
+from tablesift.plans.jobs import discover_folder, folder_space
+from tablesift.sources.csv import MISSING_CELL, PLAIN_CSV, STRICT_CSV, TRIMMED_CSV, CsvOptions, read_csv
+from tablesift.sources.folder import InputFolderError, list_files, load_folder, load_layouts, readable
 from tablesift.sources.sinks import line_order, write_lines
 from tablesift.sources.tables import STAR_TABLES, read_tables
 from tests.conftest import SF_SMALL
@@ -28,10 +28,11 @@ def test_quotes_blanks_and_short_rows(spark, tmp_dir):
     rows = [tuple(r) for r in read_csv(spark, os.path.join(tmp_dir, "t.csv"), STRICT_CSV).collect()]
     assert rows[0] == ("a;b", 'c"d', "x")
     assert rows[1] == (None, "", "y")  # empty cell is null, quoted empty is blank
-    assert rows[2] == ("1", "2", None)  # short row null-filled
+    assert rows[2] == ("1", "2", MISSING_CELL)  # a short row's missing cell
     assert rows[3] == ("4", "5", "6")  # extra cell dropped
     trimmed = [tuple(r) for r in read_csv(spark, os.path.join(tmp_dir, "t.csv"), TRIMMED_CSV).collect()]
     assert trimmed[1][:2] == (None, None)
+    assert trimmed[2] == ("1", "2", None)  # short row null-filled
 
 
 def test_no_header_and_named_columns(spark, tmp_dir):
@@ -169,3 +170,81 @@ def test_sorted_parts_and_their_manifest(spark, tmp_dir):
     assert manifest == [(n, len(t), t[0], t[-1]) for n, t in zip(names, texts, strict=True) if t]
     write_lines(lines.where("false"), out)
     assert spark.read.text(out).count() == 0 and line_order(spark, out).count() == 0
+
+
+def test_short_records_add_nothing_in_strict(spark, tmp_dir):
+    # a: 1, 4, x and nothing else; b lacks the short records' cells; c has an empty (null) cell
+    write(tmp_dir, "t.csv", 'A;B;C\n1;"";x\n4\n\n"p;q";;y\n7;8;9;10\n')
+    df = read_csv(spark, os.path.join(tmp_dir, "t.csv"), STRICT_CSV)
+    assert [tuple(r) for r in df.collect()] == [
+        ("1", "", "x"),
+        ("4", MISSING_CELL, MISSING_CELL),
+        ("p;q", None, "y"),
+        ("7", "8", "9"),
+    ]
+    # a scan of one column still sees which records are short
+    assert [r.B for r in df.select("B").collect()] == ["", MISSING_CELL, None, "8"]
+    space = folder_space(spark, tmp_dir, "strict")
+    values = {(r.attribute_column, r.value) for r in A.attribute_values(space).select("attribute_column", "value").collect()}
+    assert values == {("A", "1"), ("A", "4"), ("A", "p;q"), ("A", "7"), ("B", ""), ("B", None), ("B", "8"), ("C", "x"), ("C", "y"), ("C", "9")}
+    # a record with line breaks inside quotes is a short one, too
+    several = CsvOptions(keep_blank=True, mark_missing=True, multi_line=True)
+    write(os.path.join(tmp_dir, "m"), "m.csv", 'A;B\n"1\n2"\n3;"4\n5"\n')
+    rows = [tuple(r) for r in read_csv(spark, os.path.join(tmp_dir, "m", "m.csv"), several).collect()]
+    assert rows == [("1\n2", MISSING_CELL), ("3", "4\n5")]
+
+
+def test_short_records_change_inclusion(spark, tmp_dir):
+    # by null filling, b would hold a null that c doesn't have
+    write(tmp_dir, "t.csv", "a;b\n1;2\n3\n")
+    write(tmp_dir, "u.csv", "c\n2\n")
+    assert {r.line for r in discover_folder(spark, tmp_dir, "strict").collect()} == {
+        "t -> u: [b] c [c]",
+        "u -> t: [c] c [b]",
+    }
+
+
+HEADERS = ["a;b;c", "a;A;b", ";x;", '"q;r";s', "a;a;a", "x.y;z`w", "only", '"";k', ' lead;trail ', '"open']
+
+
+def test_headers_of_a_folder_are_those_of_the_reader(spark, tmp_dir):
+    for i, line in enumerate(HEADERS):
+        write(tmp_dir, f"f {i}%20[{i}].csv", f"\n{line}\n1;2;3\n")
+    write(tmp_dir, "none.csv", "")
+    write(tmp_dir, "blank.csv", "\n\n")
+    for options in (TRIMMED_CSV, STRICT_CSV, CsvOptions(header=False, sep=";"), CsvOptions(ignore_leading_whitespace=True)):
+        got = load_folder(spark, tmp_dir, options)
+        want = {os.path.basename(f): read_csv(spark, readable(spark, f), options) for f in list_files(spark, tmp_dir)}
+        assert {n: t.columns for n, t in got.items()} == {n: t.columns for n, t in want.items()}
+        for n in want:
+            assert sorted(map(tuple, got[n].collect()), key=str) == sorted(map(tuple, want[n].collect()), key=str), n
+
+
+def test_jobs_of_a_folder_do_not_grow_with_its_files(spark, tmp_dir):
+    def jobs(n):
+        folder = os.path.join(tmp_dir, str(n))
+        for i in range(n):
+            write(folder, f"{i:04}.csv", f"k{i % 3};v\n{i};{i + 1}\n")
+        group = f"folder-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            files, layouts = load_folder(spark, folder), load_layouts(spark, folder)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(files) == n and len(layouts) == 3
+        assert sorted(int(r.v) for t in layouts.values() for r in t.collect()) == list(range(1, n + 1))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    # two jobs a read of the headers; Spark lists more than 32 paths by one more job a scan
+    assert jobs(10) == 4
+    assert jobs(100) == jobs(120) == 9
+
+
+def test_equal_headers_share_a_scan(spark, tmp_dir):
+    for i in range(4):
+        write(tmp_dir, f"part{i}.csv", f"a;b\n{i};{i}\n")
+    write(tmp_dir, "other.csv", "c\n0\n1\n2\n3\n")
+    space = folder_space(spark, tmp_dir, "trimmed")
+    assert sorted(t.columns for t in space.tables.values()) == [["a", "b"], ["c"]]
+    lines = {r.line for r in discover_folder(spark, tmp_dir, "trimmed").collect()}
+    assert lines == {"a < b, c", "b < a, c", "c < a, b"}
