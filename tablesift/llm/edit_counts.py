@@ -6,7 +6,9 @@ children.  A run begins at a blank or line feed after a visible character;
 byte-level BPE cuts there in any context and never merges across such a cut,
 so the tokens of a text are the sum over its runs.  An edit re-encodes the
 runs it touches, and those that hold the character on either side of it, and
-updates the sums on the paths to the root.
+updates the sums on the paths to the root.  All edits of a document are
+applied in one sweep over its text, so work is linear in the text and the
+edits.
 
 Counts are those of ordinary text: strings that spell a special token are
 text.  All work is inside the document's row: no shuffle, but for
@@ -39,15 +41,18 @@ SCRUB = [
 def runs(text: str, least: int) -> list[int]:
     """Ends of the runs: the first cut after every ``least`` characters, and the end of the text."""
     ends, at = [], least
+    ahead = {" ": -1, "\n": -1}
     while at < len(text):
-        if text[at] in " \n" and not text[at - 1].isspace():
+        if text[at] in ahead and not text[at - 1].isspace():
             ends.append(at)
             at += least
-        else:
-            spots = [p for p in (text.find(" ", at + 1), text.find("\n", at + 1)) if p > 0]
-            if not spots:
-                break
-            at = min(spots)
+            continue
+        for c, place in ahead.items():
+            # a place still ahead is not searched again
+            if place <= at:
+                place = text.find(c, at + 1)
+                ahead[c] = place if place >= 0 else len(text)
+        at = min(ahead.values())
     return [*ends, len(text)]
 
 
@@ -65,14 +70,17 @@ class CountTree:
         self.encoded += len(text)
         return len(self.enc.fast.encode_ordinary(text)) if self.enc.fast else len(self.enc.ids(text))
 
+    def leaves_of(self, text: str, ends: list[int]) -> list[tuple[int, int]]:
+        return [(e - s, self.tokens(text[s:e])) for s, e in zip([0, *ends], ends, strict=False)]
+
     def build(self) -> None:
-        ends = runs(self.text, LEAF_CHARS)
-        self.width = 1 << (len(ends) - 1).bit_length()
+        self._grow(np.array(self.leaves_of(self.text, runs(self.text, LEAF_CHARS)), dtype=np.int64))
+
+    def _grow(self, leaves: np.ndarray) -> None:
+        """A tree of its own for the leaves."""
+        self.width = 1 << max(0, len(leaves) - 1).bit_length()
         self.sums = np.zeros((2 * self.width, 2), dtype=np.int64)
-        start = 0
-        for i, end in enumerate(ends):
-            self.sums[self.width + i] = end - start, self.tokens(self.text[start:end])
-            start = end
+        self.sums[self.width : self.width + len(leaves)] = leaves
         level = self.width
         while level > 1:
             self.sums[level // 2 : level] = self.sums[level : 2 * level : 2] + self.sums[level + 1 : 2 * level : 2]
@@ -91,44 +99,68 @@ class CountTree:
                 start, node = start + left, node + 1
         return node, start
 
-    def set_leaf(self, node: int, chars: int, tokens: int) -> None:
-        change = np.array([chars, tokens]) - self.sums[node]
-        while node:
-            self.sums[node] += change
-            node //= 2
-
     def edit(self, start: int, stop: int, new: str) -> None:
         """Replace characters ``start`` to ``stop``."""
-        old = len(self.text)
-        if not 0 <= start <= stop <= old:
-            raise ValueError(f"edit {start}:{stop} of a text of {old} characters")
-        self.text = self.text[:start] + new + self.text[stop:]
-        # the character on either side of the edit stays, so the cuts beyond them do
-        first, begin = self.leaf_at(max(0, min(start, old) - 1)) if old else (self.width, 0)
-        last, end = self.leaf_at(min(stop, old - 1)) if old else (self.width, 0)
-        end += int(self.sums[last, 0])
-        region = self.text[begin : end + len(new) - (stop - start)]
-        for node in range(first + 1, last + 1):
-            if self.sums[node].any():
-                self.set_leaf(node, 0, 0)
-        if len(region) > 4 * LEAF_CHARS and len(runs(region, LEAF_CHARS)) > 1 and first == last:
-            # the leaf has outgrown its place: new leaves, of which only those of the region are encoded
-            self._regrow(first, begin, region)
-        else:
-            self.set_leaf(first, len(region), self.tokens(region))
-
-    def _regrow(self, node: int, begin: int, region: str) -> None:
-        leaves = self.sums[self.width :]
-        at = node - self.width
-        ends = [0, *runs(region, LEAF_CHARS)]
-        grown = [(e - s, self.tokens(region[s:e])) for s, e in zip(ends, ends[1:], strict=False)]
-        parts = [leaves[:at], np.array(grown, dtype=np.int64).reshape(-1, 2), leaves[at + 1 :]]
-        leaves = np.concatenate([p[p.any(axis=1)] for p in parts])
-        self.width = 1 << max(0, len(leaves) - 1).bit_length()
-        self.sums = np.zeros((2 * self.width, 2), dtype=np.int64)
-        self.sums[self.width : self.width + len(leaves)] = leaves
-        for i in range(self.width - 1, 0, -1):
-            self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
+        self.edit_all([(start, stop, new)])
+
+    def edit_all(self, edits: list[tuple[int, int, str]]) -> None:
+        """Apply edits (start, stop, new), given in places of the text as it is, in one sweep.
+
+        Edits whose leaves overlap are one region, which is encoded once.  The
+        character on either side of an edit stays, so the cuts beyond the
+        region do.
+        """
+        old, edits = len(self.text), sorted(edits, key=lambda e: (e[0], e[1]))
+        upto = 0
+        for start, stop, _ in edits:
+            if not 0 <= start <= stop <= old:
+                raise ValueError(f"edit {start}:{stop} of a text of {old} characters")
+            if start < upto:
+                raise ValueError("edits of a document overlap")
+            upto = stop
+        out, copied, regions, i = [], 0, [], 0
+        while i < len(edits):
+            first, begin = self.leaf_at(max(0, edits[i][0] - 1)) if old else (self.width, 0)
+            pieces, at = [], begin
+            while True:
+                start, stop, new = edits[i]
+                pieces += [self.text[at:start], new]
+                at, i = stop, i + 1
+                last, end = self.leaf_at(min(stop, old - 1)) if old else (self.width, 0)
+                end += int(self.sums[last, 0])
+                if i == len(edits) or (old and edits[i][0] - 1 >= end):
+                    break
+            region = "".join([*pieces, self.text[at:end]])
+            out += [self.text[copied:begin], region]
+            copied = end
+            regions.append((first, last, region))
+        self.text = "".join([*out, self.text[copied:]])
+        self._set_regions(regions)
+
+    def _set_regions(self, regions: list[tuple[int, int, str]]) -> None:
+        """New leaves in the places of old ones; a region that has outgrown its places gives the tree new ones."""
+        changed, wider = [], []
+        for first, last, region in regions:
+            ends = runs(region, LEAF_CHARS) if len(region) > 4 * LEAF_CHARS else [len(region)]
+            leaves = self.leaves_of(region, ends)
+            if len(leaves) > last - first + 1:
+                wider.append((first, last, leaves))
+                continue
+            self.sums[first : last + 1] = 0
+            self.sums[first : first + len(leaves)] = leaves
+            changed.append(np.arange(first, last + 1))
+        if wider:
+            parts, upto = [], self.width
+            for first, last, leaves in wider:
+                parts += [self.sums[upto:first], np.array(leaves, dtype=np.int64)]
+                upto = last + 1
+            leaves = np.concatenate([*parts, self.sums[upto:]])
+            self._grow(leaves[leaves.any(axis=1)])
+        elif changed:
+            nodes = np.unique(np.concatenate(changed) // 2)
+            while nodes[-1] > 0:
+                self.sums[nodes] = self.sums[2 * nodes] + self.sums[2 * nodes + 1]
+                nodes = np.unique(nodes // 2)
 
 
 def scrub_edits(text: str, rules: list[tuple[str, str]]) -> list[tuple[int, int, str]]:
@@ -142,16 +174,6 @@ def scrub_edits(text: str, rules: list[tuple[str, str]]) -> list[tuple[int, int,
     return out
 
 
-def _edited(tree: CountTree, edits: list[tuple[int, int, str]]) -> None:
-    """Apply edits, given in places of the old text, from the last to the first."""
-    upto = None
-    for start, stop, new in sorted(edits, key=lambda e: (e[0], e[1]), reverse=True):
-        if upto is not None and stop > upto:
-            raise ValueError("edits of a document overlap")
-        tree.edit(start, stop, new or "")
-        upto = start
-
-
 def build_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """doc_id, text, n_tokens and ``tree`` (the sums as little-endian 64-bit numbers), one row per input row."""
     path = tokenizer or default_tokenizer()
@@ -187,7 +209,7 @@ def apply_edits(trees: DataFrame, edits: DataFrame, tokenizer: str | None = None
             out = []
             for text, sums, todo in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
                 tree = CountTree(text, enc, np.frombuffer(sums, "<i8").reshape(-1, 2).copy())
-                _edited(tree, [(e["start"], e["stop"], e["text"]) for e in todo or []])
+                tree.edit_all([(e["start"], e["stop"], e["text"] or "") for e in todo or []])
                 out.append(tree)
             columns = [batch.column(0), pa.array([t.text for t in out], pa.string()), pa.array([t.total() for t in out], pa.int64())]
             columns += [pa.array([t.sums.astype("<i8").tobytes() for t in out], pa.binary()), pa.array([t.encoded for t in out], pa.int64())]
@@ -226,7 +248,7 @@ def scrubbed_counts(
                 tree = CountTree(text.as_py(), enc)
                 before, tree.encoded = tree.total(), 0
                 edits = scrub_edits(tree.text, rules)
-                _edited(tree, edits)
+                tree.edit_all(edits)
                 counts.append((before, len(edits), tree.encoded, tree.total()))
                 after.append(tree.text)
             columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]
