@@ -78,6 +78,7 @@ def scale_conf(
     cores: int,
     target_partition_bytes: int = 256 * 1024 * 1024,
     max_split_bytes: int = 256 * 1024 * 1024,
+    max_tasks: int = 65_536,
 ) -> dict[str, str]:
     """Settings sized for an input of ``input_bytes`` on ``cores`` cores.
 
@@ -90,12 +91,20 @@ def scale_conf(
       ``max_split_bytes`` (row groups permitting).
     * AQE advisory size equal to the target, so coalescing and the initial
       count agree.
+
+    A shuffle has a block for each pair of a map task and a reducer, and the
+    driver keeps track of them, so neither side gets more than ``max_tasks``
+    (or two waves of the cores, if that is more): beyond it, partitions and
+    splits grow with the input.
     """
-    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    most = max(2 * cores, max_tasks)
+    shuffle = max(2 * cores, min(most, -(-input_bytes // target_partition_bytes)))
+    partition = max(target_partition_bytes, -(-input_bytes // most))
+    split = max(max_split_bytes, -(-input_bytes // most))
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
     }

@@ -87,5 +87,11 @@ def test_scale_conf():
     from tablesift.session import scale_conf
 
     conf = scale_conf(100 * 1024**4, cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    # not 409,600 reducers of 256 MB: neither side of a shuffle has more than 65,536 tasks
+    assert int(conf["spark.sql.shuffle.partitions"]) == 65_536
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) * 65_536 >= 100 * 1024**4
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == conf["spark.sql.files.maxPartitionBytes"]
+    assert scale_conf(100 * 1024**4, cores=40_000)["spark.sql.shuffle.partitions"] == "80000"
+    one_tb = scale_conf(1024**4, cores=800)
+    assert one_tb["spark.sql.shuffle.partitions"] == "4096" and one_tb["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
     assert scale_conf(10 * 1024**2, cores=8)["spark.sql.shuffle.partitions"] == "16"
