@@ -194,6 +194,40 @@ SELECT m.dt AS dependent_table, m.a || ', ' || m.b AS dependent_columns,
 FROM matched m JOIN dtot ON dtot.t = m.dt AND dtot.c1 = m.a AND dtot.c2 = m.b AND dtot.n = m.n"""
 
 
+def nary_maximal_sql(table: str, columns: list[str], parts: dict[str, str]) -> str:
+    """Maximal INDs of arity 2 and up between parts (name, condition) of one
+    table whose columns (in name order) have no null or blank, so containment
+    of tuples says all.  Every set of unary INDs between two parts is tried."""
+    names = "[" + ", ".join(_lit(c) for c in columns) + "]"
+    values = "[" + ", ".join(value_sql(c, True) for c in columns) + "]"
+    rows = " UNION ALL ".join(f"SELECT {_lit(p)} AS t, {values} AS v FROM {table} WHERE {cond}" for p, cond in parts.items())
+    return f"""
+WITH RECURSIVE rows_ AS MATERIALIZED ({rows}),
+cells AS MATERIALIZED (SELECT DISTINCT t, i, v[i] AS x FROM rows_, range(1, {len(columns) + 1}) g(i)),
+tot AS (SELECT t, i, count(*) AS n FROM cells GROUP BY t, i),
+common AS (
+  SELECT d.t AS dt, d.i AS a, r.t AS rt, r.i AS b, count(*) AS n
+  FROM cells d JOIN cells r ON d.x = r.x AND NOT (d.t = r.t AND d.i = r.i) GROUP BY d.t, d.i, r.t, r.i),
+una AS MATERIALIZED (SELECT dt, a, rt, b FROM common JOIN tot ON tot.t = dt AND tot.i = a AND tot.n = common.n),
+sets AS (
+  SELECT dt, rt, [a] AS ds, [b] AS rs FROM una
+  UNION ALL
+  SELECT s.dt, s.rt, list_append(s.ds, u.a), list_append(s.rs, u.b)
+  FROM sets s JOIN una u ON u.dt = s.dt AND u.rt = s.rt AND u.a > s.ds[-1] AND NOT list_contains(s.rs, u.b)),
+many AS MATERIALIZED (SELECT *, row_number() OVER () AS id FROM sets WHERE len(ds) > 1),
+dep AS (SELECT DISTINCT id, list_transform(ds, lambda k: v[k]) AS x FROM many JOIN rows_ ON t = dt),
+ref AS (SELECT DISTINCT id, list_transform(rs, lambda k: v[k]) AS x FROM many JOIN rows_ ON t = rt),
+bad AS (SELECT DISTINCT dep.id FROM dep LEFT JOIN ref ON ref.id = dep.id AND ref.x = dep.x WHERE ref.id IS NULL),
+held AS MATERIALIZED (
+  SELECT *, list_transform(range(1, len(ds) + 1), lambda k: ds[k] * 1000 + rs[k]) AS pairs FROM many WHERE id NOT IN (SELECT id FROM bad))
+SELECT dt AS dependent_table, array_to_string(list_transform(ds, lambda k: {names}[k]), ', ') AS dependent_columns,
+       rt AS referenced_table, array_to_string(list_transform(rs, lambda k: {names}[k]), ', ') AS referenced_columns,
+       len(ds)::INTEGER AS arity
+FROM held h
+WHERE NOT EXISTS (
+  SELECT 1 FROM held o WHERE o.dt = h.dt AND o.rt = h.rt AND len(o.ds) > len(h.ds) AND list_has_all(o.pairs, h.pairs))"""
+
+
 def longest_shared_sql(table: str, id_sql: str, text_col: str, window: int = 24) -> str:
     """Longest shared substring per id for long texts.
 
