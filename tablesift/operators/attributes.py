@@ -52,12 +52,12 @@ BROADCAST_ATTRIBUTE_LIMIT = 200_000
 UNPIVOT_CHUNK = 64
 
 
-def inline_chunks(df: DataFrame, entries: list[str]) -> list[DataFrame]:
+def inline_chunks(df: DataFrame, entries: list[str], size: int = UNPIVOT_CHUNK) -> list[DataFrame]:
     """``df.select(inline(array(*entries)))`` split into chunks; entries are
     ``named_struct`` SQL texts of one shape."""
     return [
-        df.select(F.expr("inline(array(" + ", ".join(entries[i : i + UNPIVOT_CHUNK]) + "))"))
-        for i in range(0, len(entries), UNPIVOT_CHUNK)
+        df.select(F.expr("inline(array(" + ", ".join(entries[i : i + size]) + "))"))
+        for i in range(0, len(entries), size)
     ]
 
 

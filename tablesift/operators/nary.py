@@ -17,6 +17,11 @@ one table) is a bit, ``groupBy(tuple)`` + ``bit_or`` gives each tuple's side
 set, the distinct sets are ``bit_and``-ed per dependent side, and a candidate
 holds when its referenced side's bit survives.
 
+Most candidates fail, and most of those on any part of their tuples.  So a
+level is tested twice: all candidates on the tuples of one slice of the hash
+space, where a tuple that the referenced side lacks is one it lacks
+altogether, then the candidates that are left on all tuples.
+
 The list of sides is collected to build the projections: it is bounded by
 the schema (column tuples named by candidates), not by the data.
 """
@@ -45,6 +50,12 @@ from tablesift.operators.ind import unary_inds
 from tablesift.plans.partitioning import materialize, spread
 
 
+# the tuples looked at first are about one in this many
+FIRST_SLICE = 64
+# sides per unpivot: what one row of a table becomes should be compiled as one method
+SIDES_CHUNK = 8
+
+
 def _by_position(options: IndOptions) -> IndOptions:
     return replace(options, name=options.name + "_by_position", merge_same_names=False)
 
@@ -112,11 +123,25 @@ def next_candidates(inds: DataFrame, k: int) -> DataFrame:
     return cands
 
 
+def in_slice_sql(cols) -> str:
+    """Condition on the normalised columns of a side: its tuple is of the slice that is looked at first."""
+    return f"pmod(xxhash64({', '.join(quote_name(c) for c in cols)}), {FIRST_SLICE}) = 0"
+
+
 def test_candidates(
     spark: SparkSession, tables: dict[str, DataFrame], options: IndOptions, cands: DataFrame, k: int
 ) -> DataFrame:
     """Keep the candidates whose dependent tuples all occur as referenced
-    tuples; one value-grouping pass for all candidates of the level."""
+    tuples: those that the first slice doesn't refute are tested on all tuples."""
+    left = materialize(_unrefuted(spark, tables, options, cands, k))
+    return _unrefuted(spark, tables, options, left, k, whole=True)
+
+
+def _unrefuted(
+    spark: SparkSession, tables: dict[str, DataFrame], options: IndOptions, cands: DataFrame, k: int, whole: bool = False
+) -> DataFrame:
+    """One value-grouping pass for all candidates of the level, over the first slice or over all tuples.
+    Without a dependent tuple a candidate stays open in a slice, and fails on the whole."""
     # The candidates are read twice (side list, then the test): materialise
     # them once, in the shared checkpoint folder when the session names one.
     cands = materialize(cands)
@@ -150,10 +175,10 @@ def test_candidates(
         norm = spread(df.selectExpr(*[f"{_value_sql(options, df, c)} AS {quote_name(c)}" for c in used]))
         entries = []
         for sid, cols in mine:
-            keep = " AND ".join(_keep_sql(options, c) for c in cols)
+            keep = " AND ".join([_keep_sql(options, c) for c in cols] + ([] if whole else [in_slice_sql(cols)]))
             values = "".join(f", '{vals[i]}', {quote_name(c)}" for i, c in enumerate(cols))
             entries.append(f"named_struct({bits(sid)}'keep', {keep}{values})")
-        parts.extend(inline_chunks(norm, entries))
+        parts.extend(inline_chunks(norm, entries, SIDES_CHUNK))
     tuples = reduce(DataFrame.unionByName, parts).where(F.col("keep")).drop("keep")
     sets = (
         tuples.groupBy(*vals)
@@ -181,11 +206,11 @@ def test_candidates(
     # schema-bounded size; broadcast below the same bound as attribute frames.
     small = (lambda d: F.broadcast(d)) if len(sides) <= BROADCAST_ATTRIBUTE_LIMIT else (lambda d: d)
     tagged = cands.join(small(dep_ids), ["dt", "dcols"]).join(small(ref_ids), ["rt", "rcols"])
-    tested = tagged.join(masks, "dep_side")
+    tested = tagged.join(masks, "dep_side", "inner" if whole else "left")
     holds = F.expr(
         f"(shiftright({warr}[cast(ref_side div {BITS_PER_WORD} as int)], ref_side % {BITS_PER_WORD}) & 1) = 1"
     )
-    return tested.where(holds).select("dt", "dcols", "rt", "rcols")
+    return tested.where(holds if whole else F.coalesce(holds, F.lit(True))).select("dt", "dcols", "rt", "rcols")
 
 
 def nary_inds(

@@ -148,3 +148,22 @@ def test_search_goes_on_until_a_level_is_empty(spark):
     }
     got = {(r.dependent_columns, r.referenced_columns, r.arity) for r in nary_inds(spark, tables, A.TRIMMED).collect()}
     assert ("a, b, c", "a2, b2, c2", 3) in got and {g[2] for g in got} == {2, 3}
+
+
+def test_a_slice_refutes_before_all_tuples_are_met(spark, monkeypatch):
+    from tablesift.operators import nary
+
+    rows = [(f"a{i}", f"b{i}", f"c{i}") for i in range(300)]
+    refs = [(f"a{i}", f"b{i}", f"c{(i + 1) % 300}") for i in range(300)]
+    tables = {"t": spark.createDataFrame(rows, "a string, b string, c string"), "u": spark.createDataFrame(refs, "x string, y string, z string")}
+    met, unrefuted = [], nary._unrefuted
+
+    def spy(spark, tables, options, cands, k, whole=False):
+        if whole:
+            met.extend((r.dt, *r.dcols) for r in cands.collect())
+        return unrefuted(spark, tables, options, cands, k, whole)
+
+    monkeypatch.setattr(nary, "_unrefuted", spy)
+    found = nary.nary_inds(spark, tables, A.TRIMMED).collect()
+    assert sorted(met) == [("t", "a", "b"), ("u", "x", "y")]
+    assert sorted((r.dependent_table, r.dependent_columns) for r in found) == [("t", "a, b"), ("u", "x, y")]
