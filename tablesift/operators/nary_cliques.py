@@ -18,9 +18,12 @@ use of the error):
    all belong together takes three passes (one, two, five columns), not five.
 
 A pass unpivots each column tuple (a *side*) to ``(side, digest of the
-tuple)``, groups by digest into the set of sides that hold the tuple, counts
-the distinct sets, and joins them with the list of candidates.  Plan text grows
-linearly with the sides.  What the driver holds (unary and binary INDs,
+tuple)``, groups by digest into the set of sides that hold the tuple (bits, by
+``bit_or``, so a tuple is sent once a map task), counts the distinct sets, and
+joins them with the list of candidates.  It looks at one slice of the tuples'
+hash space first: a tuple that is missing there refutes its candidate, and the
+slice tells the error; only candidates without one meet all tuples.  Plan text
+grows linearly with the sides.  What the driver holds (unary and binary INDs,
 candidates, their errors) is bounded by the schema.
 """
 
@@ -35,8 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.functions.text import quote_name
-from tablesift.operators.attributes import TRIMMED, IndOptions, inline_chunks, sql_string
-from tablesift.operators.nary import _keep_sql, _value_sql, level_one
+from tablesift.operators.attributes import BITS_PER_WORD, TRIMMED, IndOptions, inline_chunks, sql_string
+from tablesift.operators.nary import SIDES_CHUNK, _keep_sql, _value_sql, in_slice_sql, level_one
 from tablesift.plans.partitioning import spread
 
 # a candidate that misses at most this share of its dependent tuples is narrowed from above
@@ -129,6 +132,14 @@ class CliqueSearch:
         if not todo:
             return
         self.passes += 1
+        first = self.measured(todo, whole=False)
+        self.error |= {c: error for c, error in first.items() if error}
+        self.error |= self.measured([c for c, error in first.items() if not error], whole=True)
+
+    def measured(self, todo: Iterable[tuple[str, str, Parts]], whole: bool) -> dict[tuple[str, str, Parts], float | None]:
+        """The share of dependent tuples that are missing, of all or of those in the first slice; None without tuples."""
+        if not todo:
+            return {}
         listed = sorted((dt, rt, tuple(sorted(parts))) for dt, rt, parts in todo)
         ends = [((dt, tuple(a for a, _ in parts)), (rt, tuple(b for _, b in parts))) for dt, rt, parts in listed]
         side_ids = {side: i for i, side in enumerate(sorted({s for both in ends for s in both}))}
@@ -140,21 +151,24 @@ class CliqueSearch:
             norm = spread(self.normalised(table, {c for _, cols in sides for c in cols}))
             entries = []
             for i, cols in sides:
-                keep = " AND ".join(_keep_sql(self.options, c) for c in cols)
+                keep = " AND ".join([_keep_sql(self.options, c) for c in cols] + ([] if whole else [in_slice_sql(cols)]))
                 # a list as JSON tells null from text and where each cell ends
                 key = f"unhex(sha2(to_json(array({', '.join(quote_name(c) for c in cols)})), 256))"
-                entries.append(f"named_struct('side', {i}, 'key', if({keep}, {key}, NULL))")
-            rows.extend(inline_chunks(norm, entries))
+                word, bit = divmod(i, BITS_PER_WORD)
+                entries.append(f"named_struct('word', {word}, 'bits', shiftleft(1L, {bit}), 'key', if({keep}, {key}, NULL))")
+            rows.extend(inline_chunks(norm, entries, SIDES_CHUNK))
         tuples = reduce(DataFrame.unionByName, rows).where("key IS NOT NULL")
-        sets = tuples.groupBy("key").agg(F.array_sort(F.collect_set("side")).alias("sides"))
-        sets = sets.groupBy("sides").agg(F.count("*").alias("n"))
+        words = [f"w{j}" for j in range(-(-len(side_ids) // BITS_PER_WORD))]
+        bits = [F.coalesce(F.bit_or(F.when(F.col("word") == j, F.col("bits"))), F.lit(0)).alias(w) for j, w in enumerate(words)]
+        sets = tuples.groupBy("key").agg(*bits).groupBy(*words).agg(F.count("*").alias("n"))
+        bit_of = f"shiftright(array({', '.join(words)})[cast(a div {BITS_PER_WORD} as int)], a % {BITS_PER_WORD}) & 1"
+        sets = sets.select("n", F.expr(f"filter(sequence(0, {len(side_ids) - 1}), a -> ({bit_of}) = 1)").alias("sides"))
         candidates = self.spark.createDataFrame([(i, side_ids[d], side_ids[r]) for i, (d, r) in enumerate(ends)], "candidate int, dep int, ref int")
         met = sets.select("sides", "n", F.explode("sides").alias("dep")).join(candidates, "dep")
         lacking = F.when(~F.array_contains("sides", F.col("ref")), F.col("n")).otherwise(0)
         found = met.groupBy("candidate").agg(F.sum("n").alias("n"), F.sum(lacking).alias("lacking")).collect()
         shares = {r["candidate"]: r["lacking"] / r["n"] for r in found}
-        for i, (dt, rt, parts) in enumerate(listed):
-            self.error[dt, rt, frozenset(parts)] = shares.get(i)
+        return {(dt, rt, frozenset(parts)): shares.get(i) for i, (dt, rt, parts) in enumerate(listed)}
 
     def run(self) -> list[tuple[str, str, Parts]]:
         """Every maximal IND of arity 2 and up."""

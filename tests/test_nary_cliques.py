@@ -132,3 +132,20 @@ def test_cliques_and_splits():
         failed = rng.sample([s for s in every if len(s) > 1], 4)
         free = [s for s in every if not any(f <= s for f in failed)]
         assert without(frozenset(nodes), failed) == {s for s in free if not any(s < c for c in free)}
+
+
+def mixed(spark):
+    """A pair that holds and two that lack most tuples, of single columns that are all included."""
+    rows = [(f"a{i}", f"b{i}", f"c{i}") for i in range(300)]
+    refs = [(f"a{i}", f"b{i}", f"c{(i + 1) % 300}") for i in range(300)]
+    return {"t": spark.createDataFrame(rows, "a string, b string, c string"), "u": spark.createDataFrame(refs, "x string, y string, z string")}
+
+
+def test_only_candidates_without_a_missing_tuple_in_a_slice_meet_all_tuples(spark, monkeypatch):
+    met = []
+    measured = CliqueSearch.measured
+    monkeypatch.setattr(CliqueSearch, "measured", lambda self, todo, whole: met.extend(todo if whole else []) or measured(self, todo, whole))
+    found = CliqueSearch(spark, mixed(spark), A.TRIMMED).run()
+    holds = ("t", "u", frozenset([("a", "x"), ("b", "y")]))
+    assert holds in found and ("u", "t", frozenset([("x", "a"), ("y", "b")])) in found and len(found) == 2
+    assert sorted(met) == sorted(found)
