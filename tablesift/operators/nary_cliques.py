@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.functions.text import quote_name
-from tablesift.operators.attributes import BITS_PER_WORD, TRIMMED, IndOptions, inline_chunks, sql_string
+from tablesift.operators.attributes import BITS_PER_WORD, TRIMMED, UNPIVOT_CHUNK, IndOptions, inline_chunks, sql_string
 from tablesift.operators.nary import SIDES_CHUNK, _keep_sql, _value_sql, in_slice_sql, level_one
 from tablesift.plans.partitioning import spread
 
@@ -156,7 +156,7 @@ class CliqueSearch:
                 key = f"unhex(sha2(to_json(array({', '.join(quote_name(c) for c in cols)})), 256))"
                 word, bit = divmod(i, BITS_PER_WORD)
                 entries.append(f"named_struct('word', {word}, 'bits', shiftleft(1L, {bit}), 'key', if({keep}, {key}, NULL))")
-            rows.extend(inline_chunks(norm, entries, SIDES_CHUNK))
+            rows.extend(inline_chunks(norm, entries, min(UNPIVOT_CHUNK, max(SIDES_CHUNK, len(entries) // 8))))
         tuples = reduce(DataFrame.unionByName, rows).where("key IS NOT NULL")
         words = [f"w{j}" for j in range(-(-len(side_ids) // BITS_PER_WORD))]
         bits = [F.coalesce(F.bit_or(F.when(F.col("word") == j, F.col("bits"))), F.lit(0)).alias(w) for j, w in enumerate(words)]
